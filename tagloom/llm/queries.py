@@ -17,8 +17,34 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep_ids=False)
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tagloom.llm import langid
+
+    docs = _table(spark, sf_dir, "documents")
+    held_out = langid.remainder("doc_id", 5) == 0
+    model = langid.fit(docs.where(~F.coalesce(held_out, F.lit(False))))
+    return langid.predict(docs, model).withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+
+
+def op6_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagloom.llm import hmm, langid
+
+    return hmm.score(_table(spark, sf_dir, "documents"), langid.remainder("doc_id", 7) == 2)
+
+
+def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagloom.llm import urls
+
+    return urls.judge(_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
+    "op4_urls": op4_urls,
+    "op6_hmm": op6_hmm,
     "op8_bpe": op8_bpe,
+    "op9_langid": op9_langid,
 }
 
 ORACLE_SQL: dict[str, str] = {}
