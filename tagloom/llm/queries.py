@@ -40,7 +40,14 @@ def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages"))
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagloom.llm import substrings
+
+    return substrings.dedup(_table(spark, sf_dir, "documents"), keep_text=False)
+
+
 QUERIES = {
+    "op2_substrings": op2_substrings,
     "op4_urls": op4_urls,
     "op6_hmm": op6_hmm,
     "op8_bpe": op8_bpe,
