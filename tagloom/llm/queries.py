@@ -46,8 +46,15 @@ def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup(_table(spark, sf_dir, "documents"), keep_text=False)
 
 
+def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagloom.llm import neardup
+
+    return neardup.groups(_table(spark, sf_dir, "documents"), size=2)
+
+
 QUERIES = {
     "op2_substrings": op2_substrings,
+    "op3_neardup": op3_neardup,
     "op4_urls": op4_urls,
     "op6_hmm": op6_hmm,
     "op8_bpe": op8_bpe,
