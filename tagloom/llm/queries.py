@@ -52,6 +52,12 @@ def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(_table(spark, sf_dir, "documents"), size=2)
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagloom.llm import neighbours
+
+    return neighbours.search(_table(spark, sf_dir, "embeddings"), "id % 20 = 0")
+
+
 QUERIES = {
     "op2_substrings": op2_substrings,
     "op3_neardup": op3_neardup,
@@ -59,6 +65,7 @@ QUERIES = {
     "op6_hmm": op6_hmm,
     "op8_bpe": op8_bpe,
     "op9_langid": op9_langid,
+    "op10_neighbours": op10_neighbours,
 }
 
 ORACLE_SQL: dict[str, str] = {}
