@@ -58,14 +58,42 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(_table(spark, sf_dir, "embeddings"), "id % 20 = 0")
 
 
+def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagloom.llm import licences
+
+    return licences.scan(_table(spark, sf_dir, "documents"))
+
+
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tagloom.llm import lines
+
+    return lines.dedup(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op1_licences": op1_licences,
     "op2_substrings": op2_substrings,
     "op3_neardup": op3_neardup,
     "op4_urls": op4_urls,
+    "op5_lines": op5_lines,
     "op6_hmm": op6_hmm,
     "op8_bpe": op8_bpe,
     "op9_langid": op9_langid,
     "op10_neighbours": op10_neighbours,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_lines": r"""
+        WITH lines AS (
+            SELECT doc_id, source, i - 1 AS place, regexp_replace(parts[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line
+            FROM (SELECT doc_id, source, string_split(text, chr(10)) AS parts FROM documents), unnest(range(1, len(parts) + 1)) AS t(i)
+        ), common AS (SELECT line, min((doc_id, place)) AS first FROM lines WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= 10),
+        gone AS (SELECT l.doc_id, l.place FROM lines l JOIN common c USING (line) WHERE (l.doc_id, l.place) <> c.first)
+        SELECT d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0) AS n_lines, (SELECT count(*) FROM gone g WHERE g.doc_id = d.doc_id) AS n_removed,
+            sha256((SELECT coalesce(string_agg(x, chr(10) ORDER BY i), '') FROM (SELECT unnest(string_split(d.text, chr(10))) AS x, generate_subscripts(string_split(d.text, chr(10)), 1) - 1 AS i)
+                WHERE i NOT IN (SELECT place FROM gone g WHERE g.doc_id = d.doc_id))) AS kept_sha256
+        FROM documents d
+    """,
+}
