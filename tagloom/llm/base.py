@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: Bytes that end a word: space and 0x09-0x0D.
 BLANKS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 #: Bytes of text that are worked on at once; a longer document is a chunk of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

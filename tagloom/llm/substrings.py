@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tagloom.llm import base
 
 #: Bytes of text among which a task settles repeats by itself.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def levels(length: int, least: int = 10) -> list[int]:
