@@ -72,6 +72,18 @@ def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagloom.llm import leaks
+
+    return leaks.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_licences": op1_licences,
     "op2_substrings": op2_substrings,
@@ -79,9 +91,11 @@ QUERIES = {
     "op4_urls": op4_urls,
     "op5_lines": op5_lines,
     "op6_hmm": op6_hmm,
+    "op7_leaks": op7_leaks,
     "op8_bpe": op8_bpe,
     "op9_langid": op9_langid,
     "op10_neighbours": op10_neighbours,
+    "pipeline": pipeline,
 }
 
 ORACLE_SQL: dict[str, str] = {
