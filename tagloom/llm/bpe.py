@@ -12,9 +12,12 @@ import hashlib
 import sys
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tagloom.llm import base
+
 #: Pieces and token pairs that a worker remembers; beyond this it starts afresh, so its memory is bounded.
 KEPT_PIECES, KEPT_PAIRS = 700_000, 1_000_000
 #: Largest vocabulary sent to the executors.
@@ -239,19 +242,21 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(key, shared.value, pattern)
         for batch in batches:
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            n, ids, sha, back = [], [], [], []
-            for text_ids in codec.encode(texts):
-                n.append(text_ids.count(" ") + 1 if text_ids else 0)
+            at, _ = base.text_buffer(batch.column(1))
+            for i, j in base.chunks(at):
+                texts = [x or "" for x in batch.column(1).slice(i, j - i).to_pylist()]
+                encoded = list(codec.encode(texts))
+                n = [ids.count(" ") + 1 if ids else 0 for ids in encoded]
+                sha = [hashlib.sha256(ids.encode()).hexdigest() for ids in encoded]
+                back = [hashlib.sha256(codec.decode(ids)).hexdigest() for ids in encoded]
+                columns = {id_col: batch.column(0).slice(i, j - i), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(sha), "decoded_sha256": pa.array(back)}
                 if keep_ids:
-                    ids.append(list(map(int, text_ids.split(" "))) if text_ids else [])
-                sha.append(hashlib.sha256(text_ids.encode()).hexdigest())
-                back.append(hashlib.sha256(codec.decode(text_ids)).hexdigest())
-            columns = [batch.column(0), pa.array(n, pa.int64()), *([pa.array(ids, pa.list_(pa.int32()))] if keep_ids else []), pa.array(sha, pa.string()), pa.array(back, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=[id_col, "n_tokens", *(["ids"] if keep_ids else []), "ids_sha256", "decoded_sha256"])
+                    flat = np.fromstring(" ".join(filter(None, encoded)), np.int32, sep=" ")
+                    columns["ids"] = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32)), pa.array(flat))
+                yield pa.RecordBatch.from_pydict(columns)
 
     kind = dict(df.select(id_col).dtypes)[id_col]
-    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(work, f"`{id_col}` {kind}, n_tokens long, {'ids array<int>, ' if keep_ids else ''}ids_sha256 string, decoded_sha256 string")
+    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(work, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string{', ids array<int>' if keep_ids else ''}")
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
