@@ -110,8 +110,8 @@ def _sets(texts: list[str], size: int) -> list[np.ndarray]:
 
 def verify(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Of pairs (a, b), those whose full sets are similar enough. `texts` is (id, text)."""
-    one = texts.select(F.col("id").alias("b"), F.col("text").alias("b_text"))
-    two = texts.select(F.col("id").alias("a"), F.col("text").alias("a_text"))
+    one = texts.select(F.col("id").alias("b"), F.col("text").alias("b_text")).hint("merge")
+    two = texts.select(F.col("id").alias("a"), F.col("text").alias("a_text")).hint("merge")
     both = pairs.join(one, "b").join(two, "a").select("a", "b", "a_text", "b_text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,6 +159,7 @@ def _left_over(stars: DataFrame, comp: DataFrame, texts: DataFrame, size: int, p
     members = members.withColumn("left", F.col("home") != F.col("component"))
     sizes = members.groupBy("star").agg(F.sum(F.col("left").cast("long")).alias("n_left"), F.count("*").alias("n"))
     sizes = sizes.where("n_left > 0 and n > 1").select("star", F.ceil(F.col("n_left") / BLOCK_LEFT).alias("lefts"), F.ceil(F.col("n") / BLOCK_ALL).alias("alls"))
+    sizes = base.materialise(sizes)  # so that the join below is by itself, and Spark can split a large star
     members = base.materialise(members.join(sizes, "star").select("star", "id", "component", "left", "lefts", "alls"))
     every = members.withColumns({"block": F.pmod(F.xxhash64("id"), "alls"), "chunk": F.explode(F.sequence(F.lit(0).cast("long"), F.col("lefts") - 1))})
     left = members.where("left").withColumns({"chunk": F.pmod(F.xxhash64("id", F.lit(3)), "lefts"), "block": F.explode(F.sequence(F.lit(0).cast("long"), F.col("alls") - 1))})
@@ -208,7 +209,8 @@ def groups(df: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_i
     first = F.first("id").over(Window.partitionBy("key").orderBy("id").rowsBetween(Window.unboundedPreceding, 0))
     stars = base.materialise(keys.withColumn("a", first).where("a <> id").select("a", F.col("id").alias("b")).distinct())
     involved = stars.select(F.col("a").alias("id")).union(stars.select("b")).distinct()
-    texts = base.materialise(docs.join(involved, "id", "left_semi"))
+    # texts always meet ids by a shuffle: a plan that broadcasts while there are few ids would change with size
+    texts = base.materialise(docs.join(involved.hint("merge"), "id", "left_semi"))
     linked = base.materialise(verify(stars, texts, size, percent).where("linked").select("a", "b").distinct())
     comp = components(linked)
     more = base.materialise(_left_over(stars, comp, texts, size, percent))
