@@ -161,7 +161,7 @@ def badge_price(sources: Column) -> Column:
         a, b = F.regexp_extract(t, r"\d{1,2}\s*%\s*(\d{2,5})(?:\s(\d{2}))?(?!\d)", 1), F.regexp_extract(t, r"\d{1,2}\s*%\s*(\d{2,5})(?:\s(\d{2}))?(?!\d)", 2)
         return F.when(a != "", F.concat(a, F.lit("."), F.when(b != "", b).otherwise("00")))
 
-    return F.filter(F.transform(sources, one), lambda t: t.isNotNull())[0]
+    return F.get(F.filter(F.transform(sources, one), lambda t: t.isNotNull()), F.lit(0))
 
 
 def context_price(sources: Column, reference: Column) -> Column:

@@ -79,13 +79,13 @@ def same_family(a: Column, b: Column, least_name: float = 0.72, least_price: flo
     return (a["item_id"] == b["item_id"]) | ((a["price_score"] >= least_price) & (b["price_score"] >= least_price) & ((share >= least_name) | ((share >= 0.62) & (a["brand"] == b["brand"]))))
 
 
-def decide(first: Column, second: Column, weak_query: Column, stockout: Column, has_catalog: Column = F.lit(True), soft: tuple = (0.90, 0.42), strong: float = 0.48, floor: float = 0.56, close: float = 0.04) -> Column:
+def decide(first: Column, second: Column, weak_query: Column, stockout: Column, has_catalog: Column | None = None, soft: tuple = (0.90, 0.42), strong: float = 0.48, floor: float = 0.56, close: float = 0.04) -> Column:
     """The status of a label's best two candidates (structs with score, text_score, price_score, kind, and family's fields)."""
     t, p = first["text_score"], first["price_score"]
     family = F.coalesce(same_family(first, second), F.lit(False))
     tied = second.isNotNull() & (first["score"] - second["score"] < close)
     return (
-        F.when(~has_catalog, "catalog_unavailable").when(stockout, "stockout_service_tag").when(weak_query, "query_too_weak").when(first.isNull(), "not_found").when(first["kind"] == "price", "price_only_candidates")
+        F.when(F.lit(False) if has_catalog is None else ~has_catalog, "catalog_unavailable").when(stockout, "stockout_service_tag").when(weak_query, "query_too_weak").when(first.isNull(), "not_found").when(first["kind"] == "price", "price_only_candidates")
         .when(tied & ~family, "ambiguous").when((p >= soft[0]) & (t >= soft[1]), "matched").when((t >= strong) & (family | (t >= floor)), "matched").otherwise("weak_match")
     )
 

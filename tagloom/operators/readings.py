@@ -19,7 +19,7 @@ def product_lines(lines: Column, red_top: Column, width: Column, height: Column)
 
 def anchor(lines: Column, words: str) -> Column:
     """The first line that has one of the words (a pattern)."""
-    return F.filter(lines, lambda n: F.lower(n["text"]).rlike(words))[0]
+    return F.get(F.filter(lines, lambda n: F.lower(n["text"]).rlike(words)), F.lit(0))
 
 
 def price_of(lines: Column, line: Column) -> Column:
@@ -109,7 +109,8 @@ def price_only(main: Column, by_zone: Column, spatial: Column, parsed: Column, l
     rated = F.reverse(F.array_sort(F.transform(every, lambda c, i: F.struct(F.greatest(F.lit(0.50), F.least(F.lit(0.96), c["score"])).alias("score"), (-i).alias("down"), c["value"].alias("value"), c["source"].alias("source")))))
     firsts = F.filter(F.transform(rated, lambda c, i: F.struct(c["value"].alias("value"), c["score"].alias("score"), c["source"].alias("source"), i.alias("i"))), lambda c: ~F.exists(F.slice(rated, F.lit(1), c["i"]), lambda o: o["value"] == c["value"]))
     large = F.filter(firsts, lambda c: price.is_integer_rubles(c["value"]) & (c["value"].try_cast("double") >= 5))
-    lead = F.when((firsts[0]["value"].try_cast("double") < 5) & (F.size(large) > 0), large[0]).otherwise(firsts[0])
+    top = F.get(firsts, F.lit(0))
+    lead = F.when((top["value"].try_cast("double") < 5) & (F.size(large) > 0), F.get(large, F.lit(0))).otherwise(top)
     ordered = F.concat(F.filter(F.array(lead), lambda c: c.isNotNull()), F.filter(firsts, lambda c: c["i"] != lead["i"]))
     return F.transform(F.slice(ordered, 1, 6), lambda c: F.struct(c["value"].alias("value"), F.round(c["score"], 4).alias("score"), c["source"].alias("source")))
 
@@ -136,7 +137,7 @@ def zone_boxes(template: Column, width: Column, height: Column, split_y: Column)
 
 def replace_weak(base: Column, new: Column, least: float = 0.5) -> Column:
     """Boxes (with zone and conf) of `base`, those of low confidence replaced by detected ones of their zone; other detected zones are added."""
-    found = lambda z: F.filter(new, lambda n: n["zone"] == z)[0]
+    found = lambda z: F.get(F.filter(new, lambda n: n["zone"] == z), F.lit(0))
     kept = F.transform(base, lambda b: F.when((b["conf"] < least) & found(b["zone"]).isNotNull(), found(b["zone"])).otherwise(b))
     return F.concat(kept, F.filter(new, lambda n: ~F.exists(base, lambda b: b["zone"] == n["zone"])))
 
@@ -153,12 +154,12 @@ def codes_of(*sources: Column, most: int = 16) -> Column:
 def qr_payload(codes: Column) -> Column:
     """The payload of the first QR-like decoded code, else of the first decoded one."""
     read = F.filter(codes, lambda c: c["decoded"] & (F.coalesce(c["payload"], F.lit("")) != ""))
-    return F.coalesce(F.filter(read, lambda c: F.lower(F.concat_ws(" ", c["kind"], c["fmt"])).contains("qr"))[0]["payload"], read[0]["payload"])
+    return F.coalesce(F.get(F.filter(read, lambda c: F.lower(F.concat_ws(" ", c["kind"], c["fmt"])).contains("qr")), F.lit(0))["payload"], F.get(read, F.lit(0))["payload"])
 
 
 def barcode(codes: Column) -> Column:
     """The first decoded code of 8 to 14 digits."""
-    return F.filter(codes, lambda c: c["decoded"] & c["payload"].rlike(r"^\d{8,14}$"))[0]["payload"]
+    return F.get(F.filter(codes, lambda c: c["decoded"] & c["payload"].rlike(r"^\d{8,14}$")), F.lit(0))["payload"]
 
 
 def text_sources(*texts: Column) -> Column:
