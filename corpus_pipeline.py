@@ -15,33 +15,36 @@ LEAST_SHARE = 0.5
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose language is recognised; those without a letter, or between languages, go."""
-    guess = langid.predict(docs.withColumn("doc_row", F.struct(*docs.columns)), langid.fit(docs), id_col="doc_row")
-    return guess.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select("doc_row.*")
+    base.small_batches(spark)
+    guess = langid.annotate(docs, langid.fit(docs))
+    return guess.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select(*docs.columns)
 
 
 def boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut lines that stand on many sites; a document that had text and is left with none goes."""
-    cut = lines.dedup(docs).select("doc_id", "n_removed", "kept").where("n_removed > 0").distinct()
-    met = docs.join(cut, "doc_id", "left")
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    met = met.withColumns({"text": text, "n_chars": F.when(F.col("n_removed") > 0, F.length("kept")).otherwise(F.col("n_chars"))})
-    return met.where("n_removed is null or trim(kept) <> ''").select(*docs.columns)
+    base.small_batches(spark)
+    met = lines.cut(docs).where("lines_cut = 0 or trim(lines_kept) <> ''")
+    n_chars = F.when(F.col("lines_cut") > 0, F.length("lines_kept")).otherwise(F.col("n_chars"))
+    return met.withColumns({"text": F.col("lines_kept"), "n_chars": n_chars}).select(*docs.columns)
 
 
 def duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five-word shingles, 0.8) the document of smallest id stays."""
+    base.small_batches(spark)
     gone = neardup.groups(docs).where("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    base.small_batches(spark)
     gone = leaks.find(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left, and what they decode to."""
+    base.small_batches(spark)
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 

@@ -44,6 +44,13 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let texts reach Python in batches of few rows, as one batch of Spark's usual size can hold gigabytes of long texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > rows:
+        spark.conf.set(name, rows)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it again: later jobs neither recompute it nor need its executors."""
     spark = df.sparkSession

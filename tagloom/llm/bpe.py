@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from tagloom.llm import base
 
 #: Pieces and token pairs that a worker remembers; beyond this it starts afresh, so its memory is bounded.
-KEPT_PIECES, KEPT_PAIRS = 700_000, 1_000_000
+KEPT_PIECES, KEPT_PAIRS = 250_000, 200_000
 #: Largest vocabulary sent to the executors.
 MOST_TOKENS = 1_000_000
 
@@ -254,6 +254,7 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
                     flat = np.fromstring(" ".join(filter(None, encoded)), np.int32, sep=" ")
                     columns["ids"] = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32)), pa.array(flat))
                 yield pa.RecordBatch.from_pydict(columns)
+        codec.ids.clear()  # a worker that goes on to other work gives this up
 
     kind = dict(df.select(id_col).dtypes)[id_col]
     return df.select(F.col(id_col), F.col(text_col)).mapInArrow(work, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string{', ids array<int>' if keep_ids else ''}")

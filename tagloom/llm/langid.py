@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tagloom.llm import base
 
@@ -123,18 +123,28 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
 
 
 def predict(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Adds nothing but returns id_col, lang_pred, score (share of the best language, 0 to 1), ambiguous, from the text alone.
+    """The language of each text, from the text alone: id_col, lang_pred, score (share of the best language, 0 to 1), ambiguous.
 
     One row for each row of `df`, repeated rows and null ids included. A null text, one without a letter, or any text
-    where there is no model: `und`, score 0, not ambiguous. Ties go to the language that sorts first. No shuffle.
+    where there is no model: `und`, score 0, not ambiguous. Ties go to the language that sorts first. No shuffle. Other
+    columns are left behind; `annotate` keeps them.
     """
-    kind = dict(df.select(id_col).dtypes)[id_col]
+    return _guess(df, model, text_col, [id_col])
+
+
+def annotate(df: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """`df` with lang_pred, score and ambiguous, as `predict` has them, which it must not have yet."""
+    return _guess(df, model, text_col, df.columns)
+
+
+def _guess(df: DataFrame, model: Model | None, text_col: str, keep: list[str]) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(model)
+    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            at, raw = base.text_buffer(batch.column(1))
+            at, raw = base.text_buffer(batch.column(text_col))
             n = batch.num_rows
             lang, score, unsure = np.full(n, UNKNOWN, object), np.zeros(n), np.zeros(n, bool)
             for start in range(0, n if model else 0, 512):
@@ -147,9 +157,10 @@ def predict(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
                 score[rows] = p.max(1)
                 if p.shape[1] > 1:
                     unsure[rows] = top[:, -1] - top[:, -2] < AMBIGUOUS
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(np.clip(score, 0, 1)), pa.array(unsure)], names=[id_col, "lang_pred", "score", "ambiguous"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(lang, pa.string()), pa.array(np.clip(score, 0, 1)), pa.array(unsure)], names=[*keep, *(f.name for f in added)])
 
-    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(work, f"`{id_col}` {kind}, lang_pred string, score double, ambiguous boolean")
+    kept = df.select(*keep).schema.fields
+    return df.select(*dict.fromkeys([*keep, text_col])).mapInArrow(work, T.StructType([*kept, *added]))
 
 
 def remainder(id_col: str, of: int) -> Column:

@@ -1,7 +1,8 @@
 """Line dedup by distinct-site spread.
 
-Each line hash gathers a HyperLogLog sketch of its sites; sketches merge by aggregation, on the map side first. Lines
-whose estimate is clearly under or over the threshold are settled by it; those near it get exact distinct counts.
+A line that occurs less often than the threshold can't spread to it, so counts settle most lines. Each other line hash
+gathers a HyperLogLog sketch of its sites; sketches merge by aggregation, on the map side first. Lines whose estimate is
+clearly under or over the threshold are settled by it; those near it get exact distinct counts.
 """
 
 from __future__ import annotations
@@ -12,24 +13,44 @@ from tagloom.llm import base
 
 #: Sites from which on a line is boilerplate, log2 of a sketch's buckets, and how far from the threshold an estimate decides.
 SITES, LOG_BUCKETS, NEAR = 10, 8, 0.35
+_BLANKS = " \t\n\x0b\x0c\r"
 
 
-def _lines(df: DataFrame) -> DataFrame:
-    """(id, site, text's lines by place, their hashes). A line's white space at its ends doesn't count; blank lines have no hash."""
-    at = df.select("id", "site", F.posexplode(F.split("text", "\n")).alias("place", "line"))
-    bare = F.regexp_replace("line", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
-    return at.select("id", "site", "place", F.when(bare != "", F.xxhash64(bare)).alias("h"), F.when(bare != "", F.xxhash64(F.lit(1), bare)).alias("h2"))
+def line_hashes(df: DataFrame) -> DataFrame:
+    """(id, site, place, h, h2): each line of (id, site, text) by a 128-bit hash, white space at its ends left out; blank lines not at all."""
+    at = df.select("id", F.xxhash64("site").alias("site"), F.col("site").isNull().alias("nowhere"), F.posexplode(F.split("text", "\n")).alias("place", "line"))
+    at = at.withColumn("line", F.btrim("line", F.lit(_BLANKS))).where("line <> ''")
+    return at.select("id", F.when(~F.col("nowhere"), F.col("site")).alias("site"), "place", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
-def boilerplate(df: DataFrame, sites: int = SITES) -> DataFrame:
-    """(h, h2) of the lines of (id, site, text) that lie on at least `sites` distinct sites. A null site is none."""
-    lines = _lines(df.where("site is not null")).where("h is not null").select("h", "h2", F.xxhash64("site").alias("site"))
-    spread = lines.groupBy("h", "h2").agg(F.hll_sketch_agg("site", F.lit(LOG_BUCKETS)).alias("sketch"))
-    guess = spread.select("h", "h2", F.hll_sketch_estimate("sketch").alias("n"))
+def boilerplate(lines: DataFrame, sites: int = SITES) -> DataFrame:
+    """(h, h2) of the lines that lie on at least `sites` distinct sites. A null site is none."""
+    placed = lines.where("site is not null").select("h", "h2", "site")
+    often = base.materialise(placed.groupBy("h", "h2").count().where(F.col("count") >= sites).select("h", "h2"))
+    spread = placed.join(often, ["h", "h2"], "left_semi").groupBy("h", "h2").agg(F.hll_sketch_agg("site", F.lit(LOG_BUCKETS)).alias("sketch"))
+    guess = base.materialise(spread.select("h", "h2", F.hll_sketch_estimate("sketch").alias("n")))
     sure = guess.where(F.col("n") > sites * (1 + NEAR)).select("h", "h2")
     near = guess.where((F.col("n") <= sites * (1 + NEAR)) & (F.col("n") >= sites * (1 - NEAR))).select("h", "h2")
-    exact = lines.join(near, ["h", "h2"], "left_semi").groupBy("h", "h2").agg(F.count_distinct("site").alias("n")).where(F.col("n") >= sites)
-    return sure.union(exact.select("h", "h2"))
+    exact = placed.join(near, ["h", "h2"], "left_semi").groupBy("h", "h2").agg(F.count_distinct("site").alias("n")).where(F.col("n") >= sites)
+    return base.materialise(sure.union(exact.select("h", "h2")))
+
+
+def cut(df: DataFrame, sites: int = SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
+    """`df` with three columns more: lines_seen, lines_cut and lines_kept (the text without boilerplate). See `dedup`."""
+    docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.col(site_col).cast("string").alias("site")).where(F.col("id").isNotNull())
+    lines = base.materialise(line_hashes(docs))
+    met = lines.select("id", "place", "h", "h2").join(boilerplate(lines, sites), ["h", "h2"])
+    first = met.groupBy("h", "h2").agg(F.min(F.struct("id", "place")).alias("first"))
+    gone = met.join(first, ["h", "h2"]).where((F.col("id") != F.col("first.id")) | (F.col("place") != F.col("first.place")))
+    gone = gone.groupBy(F.col("id").alias("lines_id")).agg(F.collect_set("place").alias("lines_gone"))
+    text = F.col(text_col)
+    stay = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains("lines_gone", i))
+    joined = df.where(F.col(id_col).isNotNull()).join(gone, F.col(id_col).cast("long") == F.col("lines_id"), "left")
+    return joined.withColumns({
+        "lines_seen": F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n"))).cast("long"),
+        "lines_cut": F.when(F.col("lines_gone").isNull(), 0).otherwise(F.size("lines_gone")).cast("long"),
+        "lines_kept": F.when(F.col("lines_gone").isNull(), text).otherwise(F.array_join(stay, "\n")),
+    }).drop("lines_id", "lines_gone")
 
 
 def dedup(df: DataFrame, sites: int = SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
@@ -41,18 +62,5 @@ def dedup(df: DataFrame, sites: int = SITES, id_col: str = "doc_id", text_col: s
     judged as one document. Rows without an id are left out; rows without a site count towards no spread but lose
     boilerplate too. Other columns are left behind.
     """
-    docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.col(site_col).cast("string").alias("site")).where(F.col("id").isNotNull())
-    common = base.materialise(boilerplate(docs, sites))
-    lines = _lines(docs).where("h is not null").select("id", "place", "h", "h2").join(common, ["h", "h2"])
-    first = lines.groupBy("h", "h2").agg(F.min(F.struct("id", "place")).alias("first"))
-    gone = lines.join(first, ["h", "h2"]).where((F.col("id") != F.col("first.id")) | (F.col("place") != F.col("first.place")))
-    gone = gone.groupBy("id").agg(F.collect_set("place").alias("gone"))
-    parts = F.split("text", "\n")
-    kept = docs.join(gone, "id", "left").withColumn("parts", parts)
-    stay = F.expr("filter(parts, (x, i) -> not array_contains(gone, i))")
-    return kept.select(
-        F.col("id").alias(id_col),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size("parts")).cast("long").alias("n_lines"),
-        F.coalesce(F.when(F.col("gone").isNotNull(), F.size("gone")), F.lit(0)).cast("long").alias("n_removed"),
-        F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(stay, "\n")).alias("kept"),
-    )
+    got = cut(df.select(id_col, text_col, site_col), sites, id_col, text_col, site_col)
+    return got.select(F.col(id_col), F.col("lines_seen").alias("n_lines"), F.col("lines_cut").alias("n_removed"), F.col("lines_kept").alias("kept"))

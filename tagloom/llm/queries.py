@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    from tagloom.llm import base
+
+    base.small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
