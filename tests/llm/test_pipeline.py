@@ -1,0 +1,15 @@
+import corpus_pipeline
+
+
+def test_stages(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    have = docs
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, have, "/root/testdata/sf0.001").write.parquet(str(tmp_path / f"{k}"))
+        now = spark.read.parquet(str(tmp_path / f"{k}"))
+        if name != "tokens":
+            assert now.columns == docs.columns
+        assert now.count() <= have.count()
+        have = now
+    assert have.count() > 100
+    assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() == have.count()
