@@ -202,3 +202,87 @@ def split_rail(a: np.ndarray, expected: float, beam: int = 12, slack: float = 0.
         paths = sorted(grown, key=lambda p: (-p[0], p[1]))[:beam]
     best = max(done, key=lambda p: (p[0] / (len(p[1]) - 1), -len(p[1])), default=(0.0, [0, width]))[1]
     return list(zip(best[:-1], best[1:], strict=True))
+
+
+def color_table(data: bytes) -> np.ndarray:
+    """32,768 rows of eleven colour shares out of an NPY file: not below 0, each row's sum 1."""
+    table = np.maximum(np.load(io.BytesIO(data), allow_pickle=False).astype(np.float64), 0)
+    if table.shape != (32_768, len(COLORS)):
+        raise ValueError(f"a colour table has 32,768 rows of {len(COLORS)}, not {table.shape}")
+    return table / np.maximum(table.sum(1, keepdims=True), 1e-12)
+
+
+def table_shares(a: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Mean colour shares of a picture by a colour table, five bits a channel."""
+    x = a.astype(np.int64) >> 3
+    return table[(x[..., 0] + 32 * x[..., 1] + 1024 * x[..., 2]).ravel()].mean(0)
+
+
+def crop(a: np.ndarray, x1: int, y1: int, x2: int, y2: int) -> np.ndarray:
+    """The part of a picture in a box, clipped; one pixel at least."""
+    h, w = a.shape[:2]
+    x1, y1 = min(max(0, x1), w - 1), min(max(0, y1), h - 1)
+    return a[y1 : max(y1 + 1, min(h, y2)), x1 : max(x1 + 1, min(w, x2))]
+
+
+def enlarge(a: np.ndarray, least: int) -> np.ndarray:
+    """Whole-number enlargement until the shorter side has `least` pixels."""
+    k = max(1, -(-least // min(a.shape[:2])))
+    return a.repeat(k, 0).repeat(k, 1)
+
+
+def tame_glare(a: np.ndarray, bright: int = 240, reach: int = 3) -> np.ndarray:
+    """Very bright, colourless spots replaced by the median of what is around them."""
+    spot = (a.min(2) >= bright) & (a.max(2) - a.min(2) <= 12)
+    out = a.copy()
+    if 0 < spot.mean() < 0.35:
+        for y, x in zip(*np.nonzero(spot), strict=True):
+            part = crop(a, x - reach, y - reach, x + reach + 1, y + reach + 1).reshape(-1, 3)
+            calm = part[part.min(1) < bright]
+            if len(calm):
+                out[y, x] = np.median(calm, 0)
+    return out
+
+
+def turn(a: np.ndarray, degrees: float) -> np.ndarray:
+    """A picture turned about its middle, nearest pixels, edges repeated."""
+    h, w = a.shape[:2]
+    t, cy, cx = np.deg2rad(degrees), (h - 1) / 2, (w - 1) / 2
+    y, x = np.mgrid[:h, :w]
+    sx = np.cos(t) * (x - cx) + np.sin(t) * (y - cy) + cx
+    sy = -np.sin(t) * (x - cx) + np.cos(t) * (y - cy) + cy
+    return a[np.clip(np.rint(sy), 0, h - 1).astype(int), np.clip(np.rint(sx), 0, w - 1).astype(int)]
+
+
+def tilt(a: np.ndarray, most: float = 35.0) -> float:
+    """The angle at which rows of text stand out most (variance of row sums): whole degrees, then fifths."""
+    step = int(np.ceil(max(a.shape[:2]) / 320))
+    small = a[::step, ::step]
+    sharp = lambda d: float(gray(turn(small, d)).sum(1).var())
+    best = max(np.arange(-most, most + 1, 1.0), key=lambda d: (sharp(d), -abs(d)))
+    return float(round(max(np.arange(best - 1, best + 1.01, 0.2), key=lambda d: (sharp(d), -abs(d))), 1))
+
+
+def warm_panels(a: np.ndarray, least: float = 0.03) -> list[tuple[int, int, int, int]]:
+    """Boxes of bands of red, orange or brown that hold at least a share of the picture, largest first."""
+    names = hue_names(a)
+    warm = np.isin(names, [COLORS.index(c) for c in ("red", "orange", "brown", "pink")])
+    out = []
+    for y1, y2 in runs(warm.mean(1) > 0.25):
+        for x1, x2 in runs(warm[y1:y2].mean(0) > 0.25):
+            if (x2 - x1) * (y2 - y1) >= least * names.size:
+                out.append((x1, y1, x2, y2))
+    return sorted(out, key=lambda b: -(b[2] - b[0]) * (b[3] - b[1]))
+
+
+def split_line(a: np.ndarray, low: float = 0.42, high: float = 0.62) -> float:
+    """Where a promotion tag's coloured lower part begins, as a fraction of its height."""
+    panels = [p for p in warm_panels(a) if p[3] > 0.5 * a.shape[0]]
+    return float(min(high, max(low, panels[0][1] / a.shape[0]))) if panels else 0.5
+
+
+def separators(a: np.ndarray, least: float = 0.6) -> list[int]:
+    """Columns that are dark or bright edges over most of a picture's height."""
+    g = gray(a)
+    edge = np.abs(np.diff(g, axis=1)) > 40
+    return peaks(np.concatenate((edge.mean(0), [0.0])), least, max(3, a.shape[1] // 50))

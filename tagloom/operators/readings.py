@@ -167,3 +167,64 @@ def text_sources(*texts: Column) -> Column:
     every = F.filter(F.array(*texts), lambda t: F.coalesce(F.trim(t), F.lit("")) != "")
     indexed = F.transform(every, lambda t, i: F.struct(t.alias("t"), i.alias("i")))
     return F.transform(F.filter(indexed, lambda x: ~F.exists(F.slice(every, F.lit(1), x["i"]), lambda o: F.substring(o, 1, 500) == F.substring(x["t"], 1, 500))), lambda x: x["t"])
+
+
+def observed_prices(*sources: Column, most: int = 20) -> Column:
+    """Distinct prices of all sources (arrays of text) at cents, in order of first sight, `most` at most."""
+    every = F.flatten(F.array(*[F.coalesce(s, F.array().cast("array<string>")) for s in sources]))
+    return F.slice(F.array_distinct(F.filter(F.transform(every, price.normalize), lambda p: p.isNotNull())), 1, most)
+
+
+def select_name(candidates: Column, least: float = 0.35) -> Column:
+    """Of some texts the one that looks most like a product name (the first such), cleaned; null if none does."""
+    rated = F.transform(candidates, lambda c, i: F.struct(text.name_quality(c).alias("score"), (-i).alias("down"), text.clean_name(c).alias("name")))
+    best = F.array_max(F.filter(rated, lambda r: (r["score"] >= least) & r["name"].isNotNull()))
+    return text.candidate_name(best["name"])
+
+
+def has_code(codes: Column) -> Column:
+    """Whether any code was decoded to something."""
+    return F.coalesce(F.exists(codes, lambda c: c["decoded"] & (F.coalesce(c["payload"], F.lit("")) != "")), F.lit(False))
+
+
+def regions_to_read(regions: Column, width: Column, height: Column, most: int = 8) -> Column:
+    """Regions (structs with score, hint and a box) to look for codes in: hints first, then large and central ones, `most` in all."""
+    central = lambda r: 1 - F.abs((r["x1"] + r["x2"]) / 2 - width / 2) / width
+    worth = lambda r: F.when(r["hint"], 2.0).otherwise(0.0) + r["score"] + geometry.area(r) / (width * height).cast("double") + 0.2 * central(r)
+    ordered = F.reverse(F.array_sort(F.transform(regions, lambda r, i: F.struct(worth(r).alias("worth"), (-i).alias("down"), r.alias("r")))))
+    return F.transform(F.slice(ordered, 1, most), lambda o: o["r"])
+
+
+def merge_bands(bands: Column, height: Column) -> Column:
+    """Bands (structs score, lo, hi) by falling score, each merged into a kept one it overlaps by .45 or lies within .06 of the height of."""
+    kind = "array<struct<score:double,lo:double,hi:double>>"
+    near = lambda k, b: (F.least(k["hi"], b["hi"]) - F.greatest(k["lo"], b["lo"]) > 0.45 * F.least(k["hi"] - k["lo"], b["hi"] - b["lo"])) | (F.abs(k["lo"] + k["hi"] - b["lo"] - b["hi"]) / 2 < 0.06 * height)
+    join = lambda k, b: F.struct(k["score"].alias("score"), F.least(k["lo"], b["lo"]).alias("lo"), F.greatest(k["hi"], b["hi"]).alias("hi"))
+    step = lambda kept, b: F.when(F.exists(kept, lambda k: near(k, b)), F.transform(kept, lambda k: F.when(near(k, b), join(k, b)).otherwise(k))).otherwise(F.concat(kept, F.array(b))).cast(kind)
+    return F.aggregate(F.reverse(F.array_sort(bands.cast(kind))), F.array().cast(kind), step)
+
+
+def flat_regions(regions: Column) -> Column:
+    """map `cn.region.color` -> share out of a map of maps."""
+    return F.map_from_entries(F.flatten(F.transform(F.map_entries(regions), lambda r: F.transform(F.map_entries(r["value"]), lambda c: F.struct(F.concat_ws(".", F.lit("cn"), r["key"], c["key"]).alias("key"), c["value"].alias("value"))))))
+
+
+def asks_model(forced: Column, template: Column, warned: Column, lines: Column, least: float = 0.55, templates: tuple = ("small_blurry_or_unknown",)) -> Column:
+    """Whether a result should go to a language model: forced, a hard template, a quality warning, weak reading, or stacked prices."""
+    weak = F.coalesce(mean_confidence(lines) < least, F.lit(True))
+    return forced | template.isin(*templates) | warned | weak | vertical_stack(lines)["suspicious"]
+
+
+def evidence(lines: Column, main: Column, candidates: Column) -> Column:
+    """What a model is told about a tag, as JSON."""
+    return F.to_json(F.struct(F.transform(lines, lambda n: n["text"]).alias("texts"), main.alias("main_price"), candidates.alias("catalog")))
+
+
+def prompt(evidence_: Column) -> Column:
+    return F.concat(F.lit("Read the shelf label. Answer with one JSON object with the keys product_name, main_price, item_id. Evidence: "), evidence_)
+
+
+def rule_card(main: Column, names: Column, candidate: Column, least: float = 0.56) -> Column:
+    """struct<product_name, main_price, item_id, source>: the card without a model; a good catalog candidate gives name and item."""
+    good = F.coalesce(candidate["score"] >= least, F.lit(False))
+    return F.struct(F.when(good, candidate["name"]).otherwise(select_name(names)).alias("product_name"), main.alias("main_price"), F.when(good, candidate["item_id"]).alias("item_id"), F.when(good, "catalog").otherwise("rules").alias("source"))

@@ -166,3 +166,31 @@ def test_recovery(spark):
     picked = tracks.recovery_frames(tracks.scored(o), "track_key")
     assert picked.groupBy("track_key").count().agg(F.max("count")).first()[0] <= 3
     assert tracks.recovered(o, o.limit(1)).count() == o.count() + 1
+
+
+def test_more_readings(spark):
+    v = lambda c: spark.range(1).select(c.alias("v")).first().v
+    code = lambda payload, fmt="qr", decoded=True: F.struct(F.lit("code").alias("kind"), F.lit(decoded).alias("decoded"), F.lit(payload).alias("payload"), F.lit(fmt).alias("fmt"), F.array(*map(F.lit, (1, 2, 3, 4))).alias("bbox"))
+    codes = F.array(code("4601234567890", "ean"), code("b=1", "qr"), code("b=1", "qr"), code("", "qr", False))
+    assert len(v(readings.codes_of(codes))) == 3
+    assert (v(readings.qr_payload(codes)), v(readings.barcode(codes)), v(readings.has_code(codes))) == ("b=1", "4601234567890", True)
+    assert v(readings.observed_prices(F.array(F.lit("1299"), F.lit("x")), F.array(F.lit("12,99")))) == ["12.99"]
+    assert v(readings.select_name(F.array(F.lit("129"), F.lit("Молоко домик в деревне 900 мл")))) == "Молоко домик в деревне 900 мл"
+    band = lambda s, a, b: F.struct(F.lit(s).alias("score"), F.lit(a).alias("lo"), F.lit(b).alias("hi"))
+    assert [(b.lo, b.hi) for b in v(readings.merge_bands(F.array(band(0.5, 10.0, 20.0), band(0.9, 12.0, 22.0), band(0.7, 80.0, 90.0)), F.lit(100.0)))] == [(10.0, 22.0), (80.0, 90.0)]
+    assert v(readings.flat_regions(F.create_map(F.lit("top"), F.create_map(F.lit("red"), F.lit(0.5))))) == {"cn.top.red": 0.5}
+    assert [t for t in v(readings.text_sources(F.lit("a"), F.lit(""), F.lit("a"), F.lit("b")))] == ["a", "b"]
+    got = v(readings.price_only(F.lit("1.79"), F.create_map(F.lit("main_price"), F.array(F.lit("179.00"))), F.array(F.lit("179")), F.lit(None).cast("array<string>"), F.array().cast(readings.LINE)))
+    assert got[0].value == "179.00" and {c.value for c in got} == {"179.00", "1.79"}
+
+
+def test_more_images():
+    a = np.full((60, 120, 3), 120, np.uint8)
+    a[20:24], a[40:44] = 10, 10
+    assert abs(images.tilt(images.turn(a, 7.0)) + 7.0) <= 1.0
+    a[5:8, 5:8] = 250
+    assert images.tame_glare(a)[6, 6].max() < 200
+    assert images.crop(a, -5, -5, 10, 10).shape == (10, 10, 3) and images.enlarge(a, 100).shape == (120, 240, 3)
+    red = np.full((100, 50, 3), 230, np.uint8)
+    red[55:] = (220, 20, 20)
+    assert images.warm_panels(red) == [(0, 55, 50, 100)] and images.split_line(red) == 0.55
