@@ -17,8 +17,8 @@ from tagloom.llm import base
 
 #: Buckets of n-grams; bits of a codeword at least; rows of each language fitted on (expected number, rows chosen by the hash of their id).
 BUCKETS, BITS, FIT_ROWS = 4096, 15, 1500
-#: Most languages, so that what reaches the driver is bounded: FIT_ROWS * MOST_LANGUAGES rows of BUCKETS floats are the worst case.
-MOST_LANGUAGES = 200
+#: Most languages, and about how many rows are fitted on in all, so that what reaches the driver is bounded (8 KB a row).
+MOST_LANGUAGES, MOST_ROWS = 200, 12_000
 UNKNOWN = "und"
 #: Posterior distance of the two best languages below which a text is ambiguous.
 AMBIGUOUS = 0.2
@@ -104,7 +104,8 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     if not counts:
         return None
     langs = sorted(counts)
-    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, FIT_ROWS / n)))])[F.col(lang_col)]
+    each = min(FIT_ROWS, MOST_ROWS // len(langs))
+    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, each / n)))])[F.col(lang_col)]
     drawn = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(11)), F.lit(1 << 30)) < share * F.lit(float(1 << 30))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
