@@ -63,6 +63,11 @@ def track_rows(spark: SparkSession, d: str) -> DataFrame:
     return export.track_rows(tracks.aggregate(observations(spark, d)))
 
 
+@query()
+def frame_rows(spark: SparkSession, d: str) -> DataFrame:
+    return export.frame_rows(tracks.scored(observations(spark, d)))
+
+
 _PRICE_SQL = "printf('%d.00', CAST(floor(l_extendedprice / 1000) AS BIGINT))"
 _LEADERS = "row_number() OVER (PARTITION BY k ORDER BY w DESC, first, value) AS place"
 

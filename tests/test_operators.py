@@ -138,6 +138,10 @@ def test_export(spark, tmp_path):
     assert got.columns == list(export.TASK_FIELDS) and got.count() > 100
     tables.write_delimited(got.limit(5), str(tmp_path / "t"), "\t", mark=True)
     assert next((tmp_path / "t").glob("part-*")).read_text(encoding="utf-8").startswith("\ufeff")
+    t = registry.track_rows(spark, "/root/testdata/sf0.001")
+    assert t.columns == list(export.TRACK_FIELDS) and len(t.columns) == 35 and t.count() == got.count()
+    f = registry.frame_rows(spark, "/root/testdata/sf0.001")
+    assert f.columns == list(export.FRAME_FIELDS) and len(f.columns) == 25 and f.count() == 6000
     nested = spark.createDataFrame([(1, [1, 2], None)], "a int, b array<int>, c string")
     assert tuple(tables.flat(nested).first()) == ("1", "[1,2]", "")
 
