@@ -3,7 +3,7 @@
 Each tree gives every vector a long string of bits (sides of random hyperplanes); the strings of a tree form one sorted
 array, dealt out in ranges. A query descends in every tree to its longest-prefix matches, which are neighbours in that
 array, and all trees ascend together, a bit at a time, until they hold enough candidates between them. Candidates are
-scored exactly where they lie. How many are enough is measured: a bounded sample of queries is answered by brute force,
+scored exactly where they lie: a query goes to every range that its prefix reaches into. How many are enough is measured: a bounded sample of queries is answered by brute force,
 and the smallest number that finds RECALL of their neighbours is taken.
 """
 
@@ -34,6 +34,19 @@ def strings(x: np.ndarray, planes: np.ndarray, extra: np.ndarray) -> np.ndarray:
     return keys | np.arange(TREES, dtype=np.int64) << BITS
 
 
+def crossing(starts: np.ndarray) -> np.ndarray:
+    """Codes of the prefixes that hold rows of more than one range; `starts` are the first keys of all ranges."""
+    inner = starts[starts & ((1 << BITS) - 1) > 0]
+    levels = np.arange(BITS + 1, dtype=np.int64)[:, None]
+    low = inner >> levels << levels
+    return np.unique(_code(low, levels)[low < inner])
+
+
+def _code(low: np.ndarray, level: np.ndarray | int) -> np.ndarray:
+    """A number for the prefix whose smallest key is `low` and that leaves `level` bits open."""
+    return low | np.int64(level) << np.int64(BITS + 16)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -102,34 +115,67 @@ def search(df: DataFrame, is_query: str, k: int = 20, id_col: str = "vec_id", ve
         return work
 
     shape = "key long, id long, asks boolean, vec array<double>"
-    n_ranges = max(1, -(-n_points * TREES // RANGE_ROWS))
-    spread = lambda t: t.repartitionByRange(max(n_ranges, int(spark.conf.get("spark.sql.shuffle.partitions"))), "key").sortWithinPartitions("key", "id")
+    n_ranges = max(1, -(-n_points * TREES // RANGE_ROWS), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n_ranges = TREES * -(-n_ranges // TREES)
+    # first keys of the ranges: those of the trees, and between them quantiles of about 50 keys a range
+    some = points.where(F.pmod(F.xxhash64("id", F.lit(9)), F.lit(max(1, n_points * TREES // (n_ranges * 50)))) == 0)
+    drawn_keys = np.sort(some.select("id", "vec", "norm").mapInArrow(hashed(False), shape).select("key").toArrow()["key"].to_numpy())
+    first = np.arange(TREES, dtype=np.int64) << BITS
+    trees = np.split(drawn_keys, np.searchsorted(drawn_keys, first[1:]))
+    starts = np.unique(np.concatenate([first, *[t[np.arange(1, n_ranges // TREES) * len(t) // (n_ranges // TREES)] for t in trees if len(t)]]))
+    ends = np.append(starts[1:], np.int64(TREES) << BITS)
+    across = crossing(starts)
+
+    def part(key: np.ndarray) -> np.ndarray:
+        return (np.searchsorted(starts, key, "right") - 1).astype(np.int32)
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """How many vectors are below the prefixes that ranges share."""
+        level = across >> np.int64(BITS + 16)
+        low = across & ((1 << (BITS + 16)) - 1)
+        total = np.zeros(len(across), np.int64)
+        for batch in hashed(False)(batches):
+            keys = np.sort(batch.column(0).to_numpy())
+            total += np.searchsorted(keys, low + (np.int64(1) << level)) - np.searchsorted(keys, low)
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(total)), pa.array(total[total > 0])], names=["prefix", "n"])
+
+    below = np.zeros(len(across), np.int64)
+    if len(across):
+        for at, n in points.select("id", "vec", "norm").mapInArrow(shared, "prefix long, n long").groupBy("prefix").agg(F.sum("n")).collect():
+            below[at] = n
+
+    def ranges(t: DataFrame):
+        return t.repartition(n_ranges, "part").groupBy("part")
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.append_column("part", pa.array(part(batch.column(0).to_numpy())))
 
     def forest(queries: DataFrame) -> DataFrame:
         every = points.select("id", "vec", "norm").mapInArrow(hashed(False), shape)
-        return every.union(queries.select("id", "vec", "norm").mapInArrow(hashed(True), shape))
-
-    def held(batches: Iterator[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray] | None:
-        got = list(batches)
-        if not got:
-            return None
-        table = pa.Table.from_batches(got)
-        asks = table["asks"].to_numpy()
-        return table, table["key"].to_numpy(), table["id"].to_numpy(), asks
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """For each query how many vectors share all but the last s bits, s from 0 to BITS."""
-        if (got := held(batches)) is not None:
-            _, keys, ids, asks = got
-            data, mine = keys[~asks], keys[asks]
-            levels = []
-            for s in range(BITS + 1):
-                low = mine >> s << s
-                levels.append(pa.array(np.searchsorted(data, low + (1 << s)) - np.searchsorted(data, low)))
-            yield pa.RecordBatch.from_arrays([pa.array(ids[asks]), *levels], names=["q", *[f"n{s}" for s in range(BITS + 1)]])
+        every = every.union(queries.select("id", "vec", "norm").mapInArrow(hashed(True), shape))
+        return every.select("key", "id", "asks").mapInArrow(dealt, "key long, id long, asks boolean, part int")
+
+    def held(table: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]:
+        table = table.take(pa.array(np.lexsort((table["id"].to_numpy(), table["key"].to_numpy()))))
+        return table, table["key"].to_numpy(), table["id"].to_numpy(), table["asks"].to_numpy()
+
+    def count(got: pa.Table) -> pa.Table:
+        """For each query how many vectors share all but the last s bits, s from 0 to BITS, in all ranges."""
+        at = got["part"][0].as_py()
+        _, keys, ids, asks = held(got)
+        data, mine = keys[~asks], keys[asks]
+        levels = []
+        for s in range(BITS + 1):
+            low = mine >> s << s
+            n = np.searchsorted(data, low + (1 << s)) - np.searchsorted(data, low)
+            out = (low < starts[at]) | (low + (1 << s) > ends[at])
+            n[out] = below[np.searchsorted(across, _code(low[out], s))]
+            levels.append(pa.array(n))
+        return pa.table([pa.array(ids[asks]), *levels], names=["q", *[f"n{s}" for s in range(BITS + 1)]])
 
     names = [f"n{s}" for s in range(BITS + 1)]
-    counts = spread(forest(probes).select("key", "id", "asks")).mapInArrow(count, "q long, " + ", ".join(f"{c} long" for c in names))
+    counts = ranges(forest(probes)).applyInArrow(count, "q long, " + ", ".join(f"{c} long" for c in names))
     counts = base.materialise(counts.groupBy("q").agg(*[F.sum(c).alias(c) for c in names]))
 
     # how many candidates are enough
@@ -166,16 +212,13 @@ def search(df: DataFrame, is_query: str, k: int = 20, id_col: str = "vec_id", ve
         level = F.when(F.col(f"n{s}") >= enough, s).otherwise(level)
     depth = counts.select(F.col("q").alias("id"), level.cast("int").alias("level"))
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = held(batches)
-        if got is None:
-            return
-        table, keys, ids, asks = got
+    def gather(got: pa.Table) -> pa.Table:
+        table, keys, ids, asks = held(got)
         x, data, own = _matrix(table["vec"].filter(pa.array(~asks))), keys[~asks], ids[~asks]
         mine, who, q = keys[asks], ids[asks], _matrix(table["vec"].filter(pa.array(asks)))
         shift = table["level"].to_numpy(zero_copy_only=False)[asks].astype(np.int64)
         if not len(mine) or not len(data):
-            return
+            return none
         low = mine >> shift << shift
         lo, hi = np.searchsorted(data, low), np.searchsorted(data, low + (np.int64(1) << shift))
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -193,11 +236,11 @@ def search(df: DataFrame, is_query: str, k: int = 20, id_col: str = "vec_id", ve
                 else:
                     r, c = (x.ravel() for x in np.indices(s.shape))
                 out.append((who[some][r], own[begin:end][c], exact(q[some][r], x[begin:end][c])))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[i] for o in out])) for i in range(3)], names=["q", "id", "score"])
+        return pa.table([pa.array(np.concatenate([o[i] for o in out])) for i in range(3)], names=["q", "id", "score"]) if out else none
 
-    planted = _with_level(points, probes.join(depth, "id"), hashed)
-    near = spread(planted).mapInArrow(gather, "q long, id long, score double")
+    none = pa.table({"q": pa.array([], pa.int64()), "id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+    planted = _with_level(points, probes.join(depth, "id"), hashed, part)
+    near = ranges(planted).applyInArrow(gather, "q long, id long, score double")
     near = best(near.distinct(), k + 1, "q").select("q", "id", "score")
     # back to all ids of equal vectors, and to all queries that share a vector
     spelled = near.join(points.select("id", "ids"), "id").select("q", F.explode("ids").alias("id"), "score")
@@ -206,17 +249,22 @@ def search(df: DataFrame, is_query: str, k: int = 20, id_col: str = "vec_id", ve
     return best(final, k, "query_id").select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias("vec_id"), "score")
 
 
-def _with_level(points: DataFrame, probes: DataFrame, hashed) -> DataFrame:
-    """The forest's rows with their vectors; queries carry the level they ascend to."""
-    shape = "key long, id long, asks boolean, vec array<double>, level int"
+def _with_level(points: DataFrame, probes: DataFrame, hashed, part) -> DataFrame:
+    """The forest's rows with their vectors and ranges; queries carry the level they ascend to, and are in all ranges it reaches."""
+    shape = "key long, id long, asks boolean, vec array<double>, level int, part int"
 
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in hashed(False)(batches):
-            yield batch.append_column("level", pa.array(np.zeros(batch.num_rows, np.int32)))
+            yield batch.append_column("level", pa.array(np.zeros(batch.num_rows, np.int32))).append_column("part", pa.array(part(batch.column(0).to_numpy())))
 
     def asking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            level = batch.column(3).to_numpy().astype(np.int64)
             for made in hashed(True)(iter([batch])):
-                yield made.append_column("level", batch.column(3))
+                low = made.column(0).to_numpy() >> level << level
+                begin, end = part(low), part(low + (np.int64(1) << level) - 1)
+                for j in range(int((end - begin).max()) + 1 if len(low) else 0):
+                    some = pa.array(np.flatnonzero(begin + j <= end))
+                    yield made.append_column("level", batch.column(3)).append_column("part", pa.array(begin + np.int32(j))).take(some)
 
     return points.select("id", "vec", "norm").mapInArrow(plain, shape).union(probes.select("id", "vec", "norm", "level").mapInArrow(asking, shape))

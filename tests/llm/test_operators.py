@@ -263,3 +263,18 @@ def test_neighbours(spark):
     assert found / total >= 0.9
     assert [i for i, _ in got[0]][:2] == [1000, 1001]
     assert neighbours.search(table.where("false"), "id % 20 = 0").count() == 0
+
+
+def test_neighbours_across_ranges(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(1500, 16)).round(3)
+    table = spark.createDataFrame([(k, [float(x) for x in v]) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+
+    def found():
+        return {(r.query_id, r.rank, r.vec_id, r.score) for r in neighbours.search(table, "id % 20 = 0").collect()}
+
+    whole = found()
+    monkeypatch.setattr(neighbours, "RANGE_ROWS", 100)
+    assert found() == whole
+    want = {(q, int(i)) for q in range(0, 1500, 20) for i in np.argsort(-(vectors @ vectors[q] - 1e9 * (np.arange(1500) == q)), kind="stable")[:20]}
+    assert len(want & {(q, i) for q, _, i, _ in whole}) >= 0.93 * len(want)
