@@ -1,28 +1,35 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Benchmark items are cut into passages, weighted by TF-IDF (passage frequencies over the whole corpus), and a randomised
-SVD, whose products with the passage matrix are summed across partitions, gives their latent space. Every passage of
-every document is projected into it; where the cosine to an item's passage is high, the text around is compared with the
+SVD, whose products with the passage matrix are summed across partitions, gives their latent space. A large benchmark is
+searched in parts, each with a space of its own in which every passage keeps a stated share of its norm. Every passage
+of every document is projected into it; where the cosine to an item's passage is high, the text around is compared with the
 whole item by longest common subsequence of words, and what is left in between is settled by the item's answer.
 """
 
 from __future__ import annotations
 
+import functools
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagloom.llm import base
 
 #: Buckets of words, latent dimensions, extra random directions, power iterations.
 BUCKETS, RANK, OVERSAMPLE, POWER = 1 << 15, 128, 16, 2
-#: Words of half a passage (a passage is two halves in a row), cosine from which on a passage is a candidate.
+#: Words of half a passage (a passage is two halves in a row), cosine from which on a passage is a candidate (of what it keeps of its norm).
 HALF, COSINE = 24, 0.3
+#: Passages of a part, least share of its norm that a passage keeps in its part's space, parts that are searched in one go.
+PART, KEPT, AT_ONCE = 256, 0.6, 16
+#: Words from one window of a document to the next, and windows' lengths in such steps.
+STEP, LENGTHS = 24, (2,)
 #: Share of an item's words in common order: from COPY on it is a leak; from PARAPHRASE on if ANSWER of its answer's rare words are there.
 COPY, PARAPHRASE, ANSWER = 0.7, 0.5, 0.75
-#: Most passages of all items: what a task holds of them is bounded by this (RANK floats each, and the words).
+#: Most passages of all items, as the driver holds their texts; a task holds AT_ONCE parts of PART passages.
 MOST_PASSAGES = 200_000
 
 _FOLD = base.LOWER.copy()
@@ -137,11 +144,11 @@ def common(a: list[bytes], b: list[bytes]) -> int:
 
 
 class Benchmark:
-    """Items, ready to be compared with texts."""
+    """Items of one part, ready to be compared with texts."""
 
     def __init__(self, rows: list[tuple], idf: np.ndarray, space: np.ndarray):
-        self.idf, self.space = idf, (space * idf[:, None]).astype(np.float32)
-        self.ids, self.words, self.rare, latent, owner = [], [], [], [], []
+        self.ids, self.words, self.rare, rows_of, owner = [], [], [], [], []
+        self.idf = idf
         for item, text, answer in rows:
             words, h = _words(*base.text_buffer(pa.array([text or ""])))
             data = words.raw.tobytes()
@@ -149,14 +156,20 @@ class Benchmark:
             if not got:
                 continue
             for at, value in _passages(text, idf):
-                latent.append(value @ space[at])
+                rows_of.append((at, value))
                 owner.append(len(self.ids))
             self.ids.append(item)
             self.words.append(got)
             self.rare.append(self._rare(answer or text.strip().rpartition("\n")[2]))
-        latent = np.array(latent, np.float32).reshape(len(owner), space.shape[1])
-        self.latent = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
+        latent = np.array([value @ space[at] for at, value in rows_of], np.float32).reshape(len(owner), space.shape[1])
+        self.kept = np.linalg.norm(latent, axis=1)
+        self.latent = latent / np.maximum(self.kept[:, None], 1e-9)
         self.owner = np.array(owner, np.int64)
+        # only words of the benchmark have a place in the space: its rows, and their numbers by bucket
+        used = np.unique(np.concatenate([at for at, _ in rows_of])) if rows_of else np.zeros(0, np.int64)
+        self.space = (space[used] * idf[used][:, None]).astype(np.float32)
+        self.place = np.full(BUCKETS, -1, np.int32)
+        self.place[used] = np.arange(len(used))
 
     def _rare(self, answer: str) -> set[bytes]:
         """The half of the answer's distinct words that are rarest in the corpus."""
@@ -165,51 +178,81 @@ class Benchmark:
         ranked = sorted({(-float(self.idf[b]), data[s:e]) for b, s, e in zip(_bucket(h), words.start, words.end, strict=True)})
         return {w for _, w in ranked[: -(-len(ranked) // 2)]}
 
-    def candidates(self, words: base.Words, h: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
-        """(row, item, first word of the passage in its text, cosine)."""
-        half, first = _halves(words)
-        n = int(first[-1])
-        bucket = _bucket(h)
-        column = (np.arange(len(half)) - words.first[words.doc]) % HALF
-        padded = np.full((n, HALF), BUCKETS, np.int64)
-        padded[half, column] = bucket
-        idf2 = np.append(self.idf**2, np.float32(0))
-        space = self.space_padded()
-        doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        for start in range(0, n, 1024):  # one half more, for the passage that goes on
-            part = padded[start : start + 1025]
-            x = space[part].sum(1)
-            size = idf2[part].sum(1)
-            own = doc[start : start + 1025]
-            pair = own[:-1] == own[1:]
-            vector, norm = x[: 1024].copy(), size[: 1024].copy()
-            vector[: len(pair)][pair] += x[1:][pair]
-            norm[: len(pair)][pair] += size[1:][pair]
-            norm = np.sqrt(np.maximum(norm, 1e-9))
-            near = np.flatnonzero(np.sqrt((vector * vector).sum(1)) >= COSINE * norm)
-            if not len(near):
-                continue
-            cosine = vector[near] @ self.latent.T / norm[near][:, None]
-            for r, c in zip(*np.nonzero(cosine >= COSINE), strict=True):
-                k = start + near[r]
-                yield int(doc[k]), int(self.owner[c]), int(k - first[doc[k]]) * HALF, float(cosine[r, c])
-
-    def space_padded(self) -> np.ndarray:
-        if not hasattr(self, "_padded"):
-            self._padded = np.concatenate((self.space, np.zeros((1, self.space.shape[1]), np.float32)))
-        return self._padded
+    def candidates(self, words: base.Words, h: np.ndarray, idf: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
+        """(row, item, first word of the window in its text, cosine), by row."""
+        steps = -(-words.count // STEP)
+        first = np.concatenate(([0], np.cumsum(steps)))
+        step = first[words.doc] + (np.arange(len(words.doc)) - words.first[words.doc]) // STEP
+        n, longest, bucket = int(first[-1]), max(LENGTHS), _bucket(h)
+        size = np.bincount(step, idf[bucket] ** 2, n + longest)
+        doc = np.concatenate((np.repeat(np.arange(len(steps)), steps), np.full(longest, -1)))
+        place = self.place[bucket]
+        there = np.flatnonzero(place >= 0)
+        place, step = place[there], step[there]
+        least = COSINE * self.kept
+        for start in range(0, n, 1024):  # some steps more, for the windows that go on
+            m = min(1024, n - start)
+            a, b = np.searchsorted(step, (start, start + m + longest - 1))
+            x = np.zeros((m + longest - 1, self.space.shape[1]), np.float32)
+            if a < b:
+                begin = np.flatnonzero(np.concatenate(([True], step[a + 1 : b] != step[a : b - 1])))
+                x[step[a:b][begin] - start] = np.add.reduceat(self.space[place[a:b]], begin, 0)
+            vector, norm2, found = x[:m].copy(), size[start : start + m].copy(), []
+            for j in range(1, longest + 1):
+                if j > 1:
+                    same = doc[start + j - 1 : start + j - 1 + m] == doc[start : start + m]
+                    vector += x[j - 1 : j - 1 + m] * same[:, None]
+                    norm2 += size[start + j - 1 : start + j - 1 + m] * same
+                if j in LENGTHS:
+                    norm = np.sqrt(np.maximum(norm2, 1e-9)).astype(np.float32)
+                    near = np.flatnonzero(np.sqrt((vector * vector).sum(1)) >= least.min(initial=1) * norm)
+                    cosine = vector[near] @ self.latent.T / norm[near][:, None]
+                    r, c = np.nonzero(cosine >= least)
+                    found.append((near[r], self.owner[c], cosine[r, c]))
+            k, item, cosine = (np.concatenate([f[i] for f in found]) for i in range(3))
+            order = np.lexsort((-cosine, item, k))  # of a window's lengths the best
+            k, item, cosine = k[order], item[order], cosine[order]
+            new = np.concatenate(([True], (k[1:] != k[:-1]) | (item[1:] != item[:-1]))) if len(k) else np.zeros(0, bool)
+            at = start + k[new]
+            yield from zip(doc[at].tolist(), item[new].tolist(), ((at - first[doc[at]]) * STEP).tolist(), cosine[new].tolist(), strict=True)
 
     def compare(self, item: int, text: list[bytes], passage: int) -> tuple[float, bool]:
         """Share of the item in the text around a passage, and whether it is a leak."""
         own = self.words[item]
         around = text[max(0, passage - len(own)) : passage + 2 * HALF + len(own)]
+        there = set(around)
+        if sum(w in there for w in own) < PARAPHRASE * len(own):  # no more can be in common order
+            return 0.0, False
         share = common(own, around) / len(own)
         if share >= COPY or share < PARAPHRASE:
             return share, share >= COPY
-        there = set(around)
         return share, bool(self.rare[item]) and sum(w in there for w in self.rare[item]) >= ANSWER * len(self.rare[item])
 
 
+def parts(rows: list[tuple], idf: np.ndarray) -> Iterator[list[tuple]]:
+    """The items (item, text, answer) in lots of PART passages, or of one longer item."""
+    lot, size = [], 0
+    for row in rows:
+        n = len(_passages(row[1] or "", idf))
+        if lot and size + n > PART:
+            yield lot
+            lot, size = [], 0
+        lot.append(row)
+        size += n
+    if lot:
+        yield lot
+
+
+def prepare(spark: SparkSession, rows: list[tuple], idf: np.ndarray) -> Benchmark:
+    """A part with the smallest rank, in steps of RANK / 2, at which all its passages keep KEPT of their norm."""
+    items, rank = spark.createDataFrame([(text,) for _, text, _ in rows], "text string"), RANK
+    while True:
+        part = Benchmark(rows, idf, latent_space(items, idf, rank))
+        if part.kept.min(initial=1) >= KEPT or rank >= len(part.owner):
+            return part
+        rank += RANK // 2
+
+
 def find(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", answer_col: str | None = None) -> DataFrame:
     """Benchmark items that leak into documents: id_col, item_col, cosine, coverage, kind (copy or paraphrase).
 
@@ -226,33 +269,37 @@ def find(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str
         raise ValueError("the benchmark is too large to be held by every task; give it in parts")
     texts = df.select(F.col(text_col).cast("string").alias("text"))
     idf = weights(frequencies(texts))
-    space = latent_space(items, idf)
     rows = sorted(items.toPandas().itertuples(index=False, name=None), key=repr)
-    shared = spark.sparkContext.broadcast(Benchmark(rows, idf, space))
     kind, item_kind = dict(df.select(id_col).dtypes)[id_col], dict(items.dtypes)["item"]
     item_type = items.limit(0).toArrow().schema.field("item").type
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bench = shared.value
-        for batch in batches:
-            at, raw = base.text_buffer(batch.column(1))
-            for i, j in base.chunks(at) if len(bench.ids) else ():
-                words, h = _words(at[i : j + 1], raw)
-                data, best = None, {}
-                text_of: dict[int, list[bytes]] = {}
-                for doc, item, passage, cosine in bench.candidates(words, h):
-                    if doc not in text_of:
-                        data = data or words.raw.tobytes()
-                        a, b = words.first[doc], words.first[doc + 1]
-                        text_of = {doc: [data[s:e] for s, e in zip(words.start[a:b].tolist(), words.end[a:b].tolist(), strict=True)]}
-                    share, leak = bench.compare(item, text_of[doc], passage)
-                    if leak:
-                        old = best.get((doc, item), (0.0, 0.0))
-                        best[doc, item] = max(old[0], cosine), max(old[1], share)
-                keys = sorted(best)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array([i + d for d, _ in keys], pa.int64())), pa.array([bench.ids[k] for _, k in keys], item_type), pa.array([best[k][0] for k in keys], pa.float64()), pa.array([best[k][1] for k in keys], pa.float64()), pa.array(["copy" if best[k][1] >= COPY else "paraphrase" for k in keys], pa.string())],
-                    names=[id_col, item_col, "cosine", "coverage", "kind"],
-                )
-
-    return df.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(work, f"`{id_col}` {kind}, `{item_col}` {item_kind}, cosine double, coverage double, kind string")
+    def search(shared):
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at, raw = base.text_buffer(batch.column(1))
+                for i, j in base.chunks(at):
+                    words, h = _words(at[i : j + 1], raw)
+                    data = words.raw.tobytes()
+                    for bench in shared.value:
+                        best = {}
+                        text_of: dict[int, list[bytes]] = {}
+                        for doc, item, passage, cosine in bench.candidates(words, h, idf) if bench.ids else ():
+                            if doc not in text_of:
+                                a, b = words.first[doc], words.first[doc + 1]
+                                text_of = {doc: [data[s:e] for s, e in zip(words.start[a:b].tolist(), words.end[a:b].tolist(), strict=True)]}
+                            share, leak = bench.compare(item, text_of[doc], passage)
+                            if leak:
+                                old = best.get((doc, item), (0.0, 0.0))
+                                best[doc, item] = max(old[0], cosine), max(old[1], share)
+                        keys = sorted(best)
+                        yield pa.RecordBatch.from_arrays(
+                            [batch.column(0).take(pa.array([i + d for d, _ in keys], pa.int64())), pa.array([bench.ids[k] for _, k in keys], item_type), pa.array([best[k][0] for k in keys], pa.float64()), pa.array([best[k][1] for k in keys], pa.float64()), pa.array(["copy" if best[k][1] >= COPY else "paraphrase" for k in keys], pa.string())],
+                            names=[id_col, item_col, "cosine", "coverage", "kind"],
+                        )
+
+        return df.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(work, f"`{id_col}` {kind}, `{item_col}` {item_kind}, cosine double, coverage double, kind string")
+
+    found, lots = [], parts(rows, idf)
+    while held := [prepare(spark, lot, idf) for lot in itertools.islice(lots, AT_ONCE)]:
+        found.append(search(spark.sparkContext.broadcast(held)))
+    return functools.reduce(DataFrame.union, found) if found else search(spark.sparkContext.broadcast([]))

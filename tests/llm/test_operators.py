@@ -241,6 +241,16 @@ def test_leaks(spark):
     assert leaks.common(b"a b c d".split(), b"x a c y d".split()) == 3
 
 
+def test_leaks_of_many_items(spark):
+    rnd = random.Random(5)
+    vocabulary = [f"w{k}" for k in range(6000)]
+    draw = lambda n: " ".join(rnd.choice(vocabulary) for _ in range(n))
+    texts = [draw(rnd.randrange(15, 60)) for _ in range(1500)]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    rows = [(k, draw(rnd.randrange(200)) + " " + texts[k] + " " + draw(100)) for k in range(0, 1500, 5)]
+    assert {(r.doc_id, r.item_id) for r in leaks.find(docs(spark, rows), items).where("kind = 'copy'").collect()} == {(k, k) for k, _ in rows}
+
+
 # op 10
 def test_neighbours(spark):
     rng = np.random.default_rng(1)
