@@ -2,8 +2,8 @@
 
 Benchmark items are cut into passages, weighted by TF-IDF (passage frequencies over the whole corpus), and a randomised
 SVD, whose products with the passage matrix are summed across partitions, gives their latent space. A large benchmark is
-searched in parts, each with a space of its own in which every passage keeps a stated share of its norm. Every passage
-of every document is projected into it; where the cosine to an item's passage is high, the text around is compared with the
+searched in parts, each with a space of its own in which every passage keeps a stated share of its norm. Windows of
+several lengths over every document are projected into it; where the cosine to an item's passage is high, the text around is compared with the
 whole item by longest common subsequence of words, and what is left in between is settled by the item's answer.
 """
 
@@ -22,11 +22,11 @@ from tagloom.llm import base
 #: Buckets of words, latent dimensions, extra random directions, power iterations.
 BUCKETS, RANK, OVERSAMPLE, POWER = 1 << 15, 128, 16, 2
 #: Words of half a passage (a passage is two halves in a row), cosine from which on a passage is a candidate (of what it keeps of its norm).
-HALF, COSINE = 24, 0.3
+HALF, COSINE = 24, 0.25
 #: Passages of a part, least share of its norm that a passage keeps in its part's space, parts that are searched in one go.
 PART, KEPT, AT_ONCE = 256, 0.6, 16
 #: Words from one window of a document to the next, and windows' lengths in such steps.
-STEP, LENGTHS = 24, (2,)
+STEP, LENGTHS = 12, (2, 3, 4)
 #: Share of an item's words in common order: from COPY on it is a leak; from PARAPHRASE on if ANSWER of its answer's rare words are there.
 COPY, PARAPHRASE, ANSWER = 0.7, 0.5, 0.75
 #: Most passages of all items, as the driver holds their texts; a task holds AT_ONCE parts of PART passages.

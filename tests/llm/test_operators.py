@@ -251,6 +251,21 @@ def test_leaks_of_many_items(spark):
     assert {(r.doc_id, r.item_id) for r in leaks.find(docs(spark, rows), items).where("kind = 'copy'").collect()} == {(k, k) for k, _ in rows}
 
 
+def test_leaks_of_short_paraphrases(spark):
+    rnd = random.Random(6)
+    vocabulary = [f"w{k}" for k in range(6000)]
+    draw = lambda n: " ".join(rnd.choice(vocabulary) for _ in range(n))
+    items, rows = [], []
+    for k in range(200):
+        words = draw(15 + k % 11).split()
+        items.append((k, " ".join(words[:-2]) + "\n" + " ".join(words[-2:])))
+        for at in rnd.sample(range(len(words) - 2), int(0.48 * len(words))):
+            words[at] = rnd.choice(vocabulary)
+        rows.append((k, draw(rnd.randrange(200)) + " " + " ".join(words) + " " + draw(100)))
+    got = leaks.find(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.where("kind = 'paraphrase'").collect()} == {(k, k) for k in range(200)}
+
+
 # op 10
 def test_neighbours(spark):
     rng = np.random.default_rng(1)
