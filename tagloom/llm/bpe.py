@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import sys
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -20,6 +19,8 @@ from tagloom.llm import base
 
 #: Pieces and token pairs that a worker remembers; beyond this it starts afresh, so its memory is bounded.
 KEPT_PIECES, KEPT_PAIRS = 250_000, 200_000
+#: Bits of the number of pairs in the table that many pairs are looked up in; longest piece (bytes), and pieces, that are encoded together.
+SLOT_BITS, LONG, LOT = 20, 48, 16_384
 #: Largest vocabulary sent to the executors.
 MOST_TOKENS = 1_000_000
 
@@ -44,6 +45,25 @@ class PrefixEncoder:
             for byte in reversed(token):
                 node = node.setdefault(byte, {})
             node[-1] = rank
+        self._arrays()
+
+    def _arrays(self) -> None:
+        """The tree of reversed tokens as arrays: sorted (node, byte) keys with the node they lead to, and each node's token."""
+        keys, child, token, nodes = [], [], [], [self.backward]
+        for number, node in enumerate(nodes):  # grows while it is read
+            token.append(node.get(-1, -1))
+            for byte, below in node.items():
+                if byte >= 0:
+                    keys.append(number << 8 | byte)
+                    child.append(len(nodes))
+                    nodes.append(below)
+        order = np.argsort(keys)
+        self.keys, self.child, self.token = np.array(keys, np.int64)[order], np.array(child, np.int64)[order], np.array(token, np.int64)
+        self.size = np.zeros(max(self.tokens) + 1, np.int64)
+        for rank, token in self.tokens.items():
+            self.size[rank] = len(token)
+        self.whole = np.where(self.size == 1, 1, -1).astype(np.int8)  # whether BPE makes a token of its bytes; -1: not known yet
+        self.slot_key, self.slot_fits = np.full(1 << SLOT_BITS, -1, np.int64), np.zeros(1 << SLOT_BITS, bool)
 
     def merge(self, piece: bytes) -> list[int]:
         """Plain BPE of a few bytes: always the merge of lowest rank, leftmost first."""
@@ -68,11 +88,77 @@ class PrefixEncoder:
             known = self.pairs[left, right] = self.merge(self.tokens[left] + self.tokens[right]) == [left, right]
         return known
 
-    def extend(self, piece: bytes, last: list[tuple[int, int]], done: int) -> None:
-        """Give `last`, which holds (length, token) of the first `done` prefixes, the others'."""
+    def _fit(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """`fits` of many pairs; answers are remembered in a table of fixed size."""
+        key = left << np.int64(32) | right
+        slot = (base.mix(key.view(np.uint64)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        out = self.slot_fits[slot]
+        new = np.flatnonzero(self.slot_key[slot] != key)
+        if len(new):
+            asked, back = np.unique(key[new], return_inverse=True)
+            out[new] = np.array([self.fits(k >> 32, k & 0xFFFFFFFF) for k in asked.tolist()])[back]
+            self.slot_key[slot[new]], self.slot_fits[slot[new]] = key[new], out[new]
+            mixed = np.flatnonzero(self.slot_key[slot[new]] != key[new])  # two pairs met in a slot: the one whose key it holds must own the answer
+            if len(mixed):
+                self.slot_key[slot[new[mixed]]] = -1
+        return out
+
+    def encode_many(self, pieces: list[bytes]) -> tuple[list[int], list[int]]:
+        """The tokens of all pieces in a row, and where each piece's begin (pieces + 1). All pieces grow by a byte at a time together."""
+        n = len(pieces)
+        length = np.fromiter(map(len, pieces), np.int64, n)
+        order = np.argsort(-length, kind="stable")
+        begin, data = (np.cumsum(length) - length)[order], np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64)
+        length = length[order]
+        top = int(length[0]) if n else 0
+        live = np.searchsorted(-length, -np.arange(top), "left")
+        last = np.zeros((top, n), np.int64)
+        for at in range(top):
+            who, node, found = np.arange(live[at]), np.zeros(live[at], np.int64), []
+            for back in range(min(at + 1, self.longest)):  # back through the tokens that end here
+                key = node << 8 | data[begin[who] + (at - back)]
+                place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                hit = self.keys[place] == key
+                who, node = who[hit], self.child[place[hit]]
+                if not len(who):
+                    break
+                token = self.token[node]
+                ends = token >= 0
+                found.append((back + 1, who[ends], token[ends]))
+            waits = np.ones(live[at], bool)
+            for size, who, token in reversed(found):
+                left = waits[who]
+                who, token = who[left], token[left]
+                if not len(who):
+                    continue
+                if size <= at:
+                    good = self._fit(last[at - size, who], token)
+                else:
+                    good = self.whole[token] == 1
+                    if size > 1 and (new := np.unique(token[self.whole[token] < 0])).size:
+                        self.whole[new] = [self._whole(t) for t in new.tolist()]
+                        good = self.whole[token] == 1
+                who = who[good]
+                last[at, who] = token[good]
+                waits[who] = False
+        # read back from the ends
+        parts, who, end = [], np.arange(n), length.copy()
+        while len(who):
+            token = last[end - 1, who]
+            parts.append((who, token))
+            end = end - self.size[token]
+            who, end = who[end > 0], end[end > 0]
+        owner = order[np.concatenate([w for w, _ in parts])] if parts else np.zeros(0, np.int64)
+        step = np.concatenate([np.full(len(w), -k) for k, (w, _) in enumerate(parts)]) if parts else owner
+        token = np.concatenate([t for _, t in parts]) if parts else owner
+        flat = np.lexsort((step, owner))
+        return token[flat].tolist(), np.searchsorted(owner[flat], np.arange(n + 1)).tolist()
+
+    def extend(self, piece: bytes, last: list[tuple[int, int]], done: int, end: int | None = None) -> None:
+        """Give `last`, which holds (length, token) of the first `done` prefixes, the others' (up to `end` bytes)."""
         del last[done:]
         pairs, fits, place, root = self.pairs, self.fits, last.append, self.backward
-        for at in range(done, len(piece)):
+        for at in range(done, len(piece) if end is None else end):
             node, i, found = root, at, []
             while i >= 0:  # back through the tokens that end here
                 node = node.get(piece[i])
@@ -126,22 +212,43 @@ class PrefixEncoder:
             before = piece
             yield self.read(last, len(piece))
 
-
-#: The pattern whose matches never cross the units of `units`.
+    def encode(self, pieces: list[bytes]) -> list[list[int]]:
+        """The tokens of each piece."""
+        whole = [self.ranks.get(p) for p in pieces]  # a piece that is a token is that token, as in tiktoken
+        short = [k for k, p in enumerate(pieces) if whole[k] is None and len(p) <= LONG]
+        long = sorted((p, k) for k, p in enumerate(pieces) if whole[k] is None and len(p) > LONG)
+        got: list = [None if t is None else (t,) for t in whole]
+        flat, first = self.encode_many([pieces[k] for k in short])
+        for j, k in enumerate(short):
+            got[k] = flat[first[j] : first[j + 1]]
+        for (_, k), tokens in zip(long, self.encode_sorted([p for p, _ in long]), strict=True):
+            got[k] = tokens
+        return got
+
+
+#: The pattern that has a quicker form of its own.
 SPACED = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-def units(pattern: str):
-    """What splits a text into parts that `pattern` can split by themselves: words with the space before them, and white space."""
+def splitter(pattern: str):
+    """What splits a text into the matches of `pattern`. SPACED is spelled out with the characters of its classes, which `re` is
+    quicker with: those of ASCII for ASCII texts, those up to U+FFFF for texts without later ones."""
     import re
 
     import regex
 
+    general = regex.compile(pattern).findall
     if pattern != SPACED:
-        return lambda text: [text] if text else []
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]))
-    white = re.escape("".join(regex.findall(r"\s", every)))
-    return re.compile(f" ?[^{white}]+|[{white}]+(?![^{white}])|[{white}]+").findall
+        return general
+
+    def spelled(every: str):
+        runs = {name: regex.findall(f"{name}+", every) for name in (r"\s", r"\p{L}", r"\p{N}")}
+        white, letter, number = ("".join(f"{re.escape(run[0])}-{re.escape(run[-1])}" for run in found) for found in runs.values())
+        return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{white}{letter}{number}]+|[{white}]+(?![^{white}])|[{white}]+").findall
+
+    plain, wide = spelled("".join(map(chr, range(128)))), spelled("".join(map(chr, [*range(0xD800), *range(0xE000, 0x10000)])))
+    beyond = re.compile("[\ud800-\udfff\U00010000-\U0010ffff]").search
+    return lambda text: plain(text) if text.isascii() else general(text) if beyond(text) else wide(text)
 
 
 class Document:
@@ -155,9 +262,22 @@ class Document:
         self.piece += more
         self.encoder.extend(self.piece, self.last, len(self.last))
 
-    def replace(self, start: int, end: int, by: bytes) -> None:
+    def replace(self, start: int, end: int, by: bytes) -> int:
+        """Put `by` in place of the bytes from start to end, and return how many prefixes were worked out again.
+
+        What is stored for a prefix depends on its last `longest` bytes and on what is stored for the `longest` prefixes
+        before it. So once that many behind the edit agree with the old ones, all later ones do.
+        """
+        old, shift, agree = self.last[:], len(by) - (end - start), 0
         self.piece = self.piece[:start] + by + self.piece[end:]
-        self.encoder.extend(self.piece, self.last, start)
+        for at in range(start, len(self.piece)):
+            self.encoder.extend(self.piece, self.last, at, at + 1)
+            agree = agree + 1 if at >= start + len(by) and self.last[at] == old[at - shift] else 0
+            if agree > self.encoder.longest:
+                self.last += old[at + 1 - shift :]
+                return at + 1 - start
+        del self.last[len(self.piece) :]
+        return len(self.piece) - start
 
     def tokens(self) -> list[int]:
         return self.encoder.read(self.last, len(self.piece))
@@ -167,21 +287,19 @@ class Codec:
     """Texts to token ids and back. Ids are held as decimal text, which is also how they are hashed."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        import regex
-
         self.encoder = PrefixEncoder(ranks)
-        self.units = units(pattern)
-        self.split = regex.compile(pattern).findall
+        self.split = splitter(pattern)
         self.ids: dict[str, str] = {}
+        self.name = {rank: str(rank) for rank in ranks.values()}
         self.token = {str(rank): token for token, rank in ranks.items()}
 
-    def learn(self, parts: Iterable[str]) -> None:
-        """Work out the ids of units."""
-        split = {part: [x.encode("utf-8", "surrogatepass") for x in self.split(part)] for part in parts}
-        new = sorted({x for pieces in split.values() for x in pieces})
-        ids = {piece: " ".join(map(str, tokens)) for piece, tokens in zip(new, self.encoder.encode_sorted(new), strict=True)}
-        for part, pieces in split.items():
-            self.ids[part] = " ".join([ids[x] for x in pieces])
+    def learn(self, new: list[str]) -> None:
+        """Work out the ids of pieces."""
+        own, name = self.ids, self.name.__getitem__
+        for k in range(0, len(new), LOT):
+            lot = new[k : k + LOT]
+            for piece, tokens in zip(lot, self.encoder.encode([x.encode("utf-8", "surrogatepass") for x in lot]), strict=True):
+                own[piece] = " ".join(map(name, tokens))
 
     def encode(self, texts: list[str]) -> Iterator[str]:
         """The ids of each text, joined by one space."""
@@ -197,12 +315,12 @@ class Codec:
     def _encode(self, texts: list[str]) -> Iterator[str]:
         if len(self.ids) > KEPT_PIECES:
             self.ids.clear()
-        split = [self.units(text) for text in texts]
+        split = [self.split(text) for text in texts]
         new: set[str] = set()
         for pieces in split:
             new.update(pieces)
         new.difference_update(self.ids.keys())
-        self.learn(new)
+        self.learn(list(new))
         ids = self.ids.__getitem__
         for pieces in split:
             yield " ".join(map(ids, pieces))
