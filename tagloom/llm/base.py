@@ -6,6 +6,8 @@ the whole buffer with numpy; no Python object is made for a word.
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -33,12 +35,14 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors see; a local one only where the setting is unset (tests)."""
+    """The folder in spark.checkpoint.dir, which all executors see. Where it is unset: a local one in local mode (tests), else an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = held.get() if held.isDefined() else None
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="tagloom-")
         spark.sparkContext.setCheckpointDir(root)
     return root
@@ -55,10 +59,49 @@ def materialise(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it again: later jobs neither recompute it nor need its executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tagloom-{uuid.uuid4().hex}"
+    if (made := _scratch.get()) is not None:
+        made.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_scratch: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scratch", default=None)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete on the way out what `materialise` wrote meanwhile; whatever reads it must have been written elsewhere by then."""
+    made: list[str] = []
+    token = _scratch.set(made)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in made:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores behind it until `df` has no such column."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def quoted(names: list[str]) -> list[str]:
+    """Column names that mean themselves, whatever signs they hold."""
+    return ["`" + name.replace("`", "``") + "`" for name in names]
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values."""
     h = h ^ (h >> np.uint64(32))

@@ -17,9 +17,9 @@ from tagloom.llm import base
 
 #: Buckets of n-grams; bits of a codeword at least; rows of each language fitted on (expected number, rows chosen by the hash of their id).
 BUCKETS, BITS, FIT_ROWS = 4096, 15, 1500
-#: Most languages, and about how many rows are fitted on in all, so that what reaches the driver is bounded (8 KB a row).
-MOST_LANGUAGES, MOST_ROWS = 200, 12_000
-UNKNOWN = "und"
+#: Most languages (ISO 639-3 has fewer codes), and about how many rows are fitted on in all (at least one a language), so that what reaches the driver is bounded (8 KB a row).
+MOST_LANGUAGES, MOST_ROWS = 10_000, 12_000
+UNKNOWN, NAMES = "und", ("lang_pred", "score", "ambiguous")
 #: Posterior distance of the two best languages below which a text is ambiguous.
 AMBIGUOUS = 0.2
 
@@ -90,7 +90,9 @@ class Model:
     def posterior(self, x: np.ndarray) -> np.ndarray:
         """Of each text, a share for each language: exp(-weighted loss), normalised."""
         f = x @ self.w + self.b
-        loss = np.stack([(np.log1p(np.exp(-np.clip(f * row, -30, 30))) * self.weight).sum(1) for row in self.code], 1)
+        f = np.clip(f, -30, 30)
+        up, down = np.log1p(np.exp(-f)) * self.weight, np.log1p(np.exp(f)) * self.weight  # loss of each bit where the codeword has 1 and -1
+        loss = up @ (self.code > 0).T + down @ (self.code < 0).T
         p = np.exp(loss.min(1, keepdims=True) - loss)
         return p / p.sum(1, keepdims=True)
 
@@ -100,11 +102,11 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     rows = train.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MOST_LANGUAGES + 1).collect()}
     if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+        raise ValueError(f"{lang_col} has more than {MOST_LANGUAGES} values, so it doesn't hold languages")
     if not counts:
         return None
     langs = sorted(counts)
-    each = min(FIT_ROWS, MOST_ROWS // len(langs))
+    each = max(1.0, min(FIT_ROWS, MOST_ROWS / len(langs)))
     share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, each / n)))])[F.col(lang_col)]
     drawn = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(11)), F.lit(1 << 30)) < share * F.lit(float(1 << 30))
 
@@ -130,17 +132,17 @@ def predict(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
     where there is no model: `und`, score 0, not ambiguous. Ties go to the language that sorts first. No shuffle. Other
     columns are left behind; `annotate` keeps them.
     """
-    return _guess(df, model, text_col, [id_col])
+    return _guess(df, model, text_col, [id_col], NAMES)
 
 
-def annotate(df: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """`df` with lang_pred, score and ambiguous, as `predict` has them, which it must not have yet."""
-    return _guess(df, model, text_col, df.columns)
+def annotate(df: DataFrame, model: Model | None, text_col: str = "text", names: tuple[str, ...] = NAMES) -> DataFrame:
+    """`df` with three columns more, as `predict` has them, under `names`, which it must not have yet (`base.fresh` finds such)."""
+    return _guess(df, model, text_col, df.columns, names)
 
 
-def _guess(df: DataFrame, model: Model | None, text_col: str, keep: list[str]) -> DataFrame:
+def _guess(df: DataFrame, model: Model | None, text_col: str, keep: list[str], names: tuple[str, ...]) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(model)
-    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())]
+    added = [T.StructField(name, kind) for name, kind in zip(names, (T.StringType(), T.DoubleType(), T.BooleanType()), strict=True)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -160,8 +162,8 @@ def _guess(df: DataFrame, model: Model | None, text_col: str, keep: list[str]) -
                     unsure[rows] = top[:, -1] - top[:, -2] < AMBIGUOUS
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(lang, pa.string()), pa.array(np.clip(score, 0, 1)), pa.array(unsure)], names=[*keep, *(f.name for f in added)])
 
-    kept = df.select(*keep).schema.fields
-    return df.select(*dict.fromkeys([*keep, text_col])).mapInArrow(work, T.StructType([*kept, *added]))
+    kept = df.select(*base.quoted(keep)).schema.fields
+    return df.select(*base.quoted(list(dict.fromkeys([*keep, text_col])))).mapInArrow(work, T.StructType([*kept, *added]))
 
 
 def remainder(id_col: str, of: int) -> Column:
