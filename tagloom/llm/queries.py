@@ -72,7 +72,7 @@ def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from tagloom.llm import lines
 
-    return lines.dedup(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return lines.dedup(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
 
 
 def op7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
