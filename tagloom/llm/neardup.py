@@ -17,14 +17,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tagloom.llm import base
 
 #: Keys in each of the two collections, and minhashes in each key. A link of similarity 0.8 is missed with a chance of 7e-5.
 KEYS, DEPTH = 10, 2
-#: Left-over members, and members they are compared with, in a block.
-BLOCK_LEFT, BLOCK_ALL = 256, 1024
+#: Left-over members, and members they are compared with, in a block, and about how many bytes of text of each.
+BLOCK_LEFT, BLOCK_ALL, BLOCK_BYTES = 256, 1024, 1 << 23
 
 _SEEDS = np.random.default_rng(99).integers(1, 1 << 63, 2 * KEYS * DEPTH, dtype=np.uint64) | np.uint64(1)
 
@@ -157,8 +157,13 @@ def _left_over(stars: DataFrame, comp: DataFrame, texts: DataFrame, size: int, p
     named = stars.join(comp.select(F.col("id").alias("b"), F.col("component").alias("b_in")), "b", "left").join(comp.select(F.col("id").alias("a"), F.col("component").alias("a_in")), "a", "left")
     members = named.select(F.col("a").alias("star"), F.coalesce("a_in", "a").alias("home"), F.col("b").alias("id"), F.coalesce("b_in", "b").alias("component"))
     members = members.withColumn("left", F.col("home") != F.col("component"))
-    sizes = members.groupBy("star").agg(F.sum(F.col("left").cast("long")).alias("n_left"), F.count("*").alias("n"))
-    sizes = sizes.where("n_left > 0 and n > 1").select("star", F.ceil(F.col("n_left") / BLOCK_LEFT).alias("lefts"), F.ceil(F.col("n") / BLOCK_ALL).alias("alls"))
+    lengths = texts.groupBy("id").agg(F.sum(F.octet_length("text").cast("long")).alias("size"))
+    of_left = lambda x: F.sum(F.when(F.col("left"), x).otherwise(0))
+    busy = members.groupBy("star").agg(of_left(F.lit(1)).alias("n_left"), F.count("*").alias("n")).where("n_left > 0 and n > 1")
+    members = base.materialise(members.join(busy.select("star"), "star").join(lengths.hint("merge"), "id"))
+    sizes = members.groupBy("star").agg(of_left(F.lit(1)).alias("n_left"), F.count("*").alias("n"), of_left(F.col("size")).alias("b_left"), F.sum("size").alias("b"))
+    cells = lambda n, most, size: F.ceil(F.greatest(F.col(n) / most, F.col(size) / BLOCK_BYTES))
+    sizes = sizes.select("star", cells("n_left", BLOCK_LEFT, "b_left").alias("lefts"), cells("n", BLOCK_ALL, "b").alias("alls"))
     sizes = base.materialise(sizes)  # so that the join below is by itself, and Spark can split a large star
     members = base.materialise(members.join(sizes, "star").select("star", "id", "component", "left", "lefts", "alls"))
     every = members.withColumns({"block": F.pmod(F.xxhash64("id"), "alls"), "chunk": F.explode(F.sequence(F.lit(0).cast("long"), F.col("lefts") - 1))})
@@ -203,9 +208,9 @@ def groups(df: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_i
     classes = sets.groupBy("one", "two", "n").agg(F.min("id").alias("rep"))
     firsts = sets.join(classes.select("rep").distinct().withColumnRenamed("rep", "id"), "id", "left_semi").dropDuplicates(["id", "one", "two"])
     keys = firsts.select("id", F.explode(F.expr("flatten(transform(u, x -> transform(v, y -> xxhash64(x, y))))")).alias("key"))
-    # a bucket's first text is its centre; the sorted stream holds no bucket in memory
-    first = F.first("id").over(Window.partitionBy("key").orderBy("id").rowsBetween(Window.unboundedPreceding, 0))
-    stars = base.materialise(keys.withColumn("a", first).where("a <> id").select("a", F.col("id").alias("b")).distinct())
+    # a bucket's first text is its centre; it is found by partial minima, and the join back can split a hot bucket
+    centres = keys.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
+    stars = base.materialise(keys.join(centres.hint("merge"), "key").where("a <> id").select("a", F.col("id").alias("b")).distinct())
     involved = stars.select(F.col("a").alias("id")).union(stars.select("b")).distinct()
     # texts always meet ids by a shuffle: a plan that broadcasts while there are few ids would change with size
     texts = base.materialise(docs.join(involved.hint("merge"), "id", "left_semi"))
