@@ -29,8 +29,8 @@ PART, KEPT, AT_ONCE = 256, 0.6, 16
 STEP, LENGTHS = 12, (2, 3, 4)
 #: Share of an item's words in common order: from COPY on it is a leak; from PARAPHRASE on if ANSWER of its answer's rare words are there.
 COPY, PARAPHRASE, ANSWER = 0.7, 0.5, 0.75
-#: Most passages of all items, as the driver holds their texts; a task holds AT_ONCE parts of PART passages.
-MOST_PASSAGES = 200_000
+#: About how many passages the driver holds at a time (a larger benchmark is taken in slices, by item); a task holds AT_ONCE parts of PART passages.
+MOST_PASSAGES = 100_000
 
 _FOLD = base.LOWER.copy()
 _FOLD[:128][[not chr(i).isalnum() for i in range(128)]] = 32
@@ -265,11 +265,9 @@ def find(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str
     answer = F.col(answer_col).cast("string") if answer_col else F.lit(None).cast("string")
     items = items.select(F.col(item_col).alias("item"), F.col(item_text).cast("string").alias("text"), answer.alias("answer")).distinct()
     size = items.agg(F.sum(F.length("text") / 2 / HALF + 1)).first()[0] or 0
-    if size > MOST_PASSAGES * 3:
-        raise ValueError("the benchmark is too large to be held by every task; give it in parts")
     texts = df.select(F.col(text_col).cast("string").alias("text"))
     idf = weights(frequencies(texts))
-    rows = sorted(items.toPandas().itertuples(index=False, name=None), key=repr)
+    slices = int(-(-size // MOST_PASSAGES)) or 1
     kind, item_kind = dict(df.select(id_col).dtypes)[id_col], dict(items.dtypes)["item"]
     item_type = items.limit(0).toArrow().schema.field("item").type
 
@@ -299,7 +297,11 @@ def find(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str
 
         return df.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(work, f"`{id_col}` {kind}, `{item_col}` {item_kind}, cosine double, coverage double, kind string")
 
-    found, lots = [], parts(rows, idf)
-    while held := [prepare(spark, lot, idf) for lot in itertools.islice(lots, AT_ONCE)]:
-        found.append(search(spark.sparkContext.broadcast(held)))
+    found = []
+    for k in range(slices):
+        some = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(slices)) == k)
+        lots = parts(sorted(some.toPandas().itertuples(index=False, name=None), key=repr), idf)
+        while held := [prepare(spark, lot, idf) for lot in itertools.islice(lots, AT_ONCE)]:
+            got = search(spark.sparkContext.broadcast(held))
+            found.append(got if slices == 1 else base.materialise(got))  # so that one slice's items are held at a time
     return functools.reduce(DataFrame.union, found) if found else search(spark.sparkContext.broadcast([]))
