@@ -170,7 +170,7 @@ def test_hmm_base_and_likelihood(spark, monkeypatch):
 def test_hmm_recursion():
     rng = np.random.default_rng(0)
     share = lambda *s: (lambda x: x / x.sum(-1, keepdims=True))(rng.random(s))
-    m = hmm.Model(share(3), share(3), share(3, 3), share(3, 5).T)
+    m = hmm.Model(share(3), share(3, 3), share(3, 5).T)
     cls, first = rng.integers(0, 5, 9).astype(np.int32), np.array([0, 4, 9])
     want = []
     for a, b in ((0, 4), (4, 9)):
