@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tagloom.llm import base
 
 #: Trees, bits of a string, recall aimed at, queries it is measured on, rows of a range.
-TREES, BITS, RECALL, SAMPLE, RANGE_ROWS = 20, 32, 0.96, 200, 100_000
+TREES, BITS, RECALL, SAMPLE, RANGE_ROWS = 8, 32, 0.96, 200, 100_000
 
 
 def _planes(dim: int, seed: int = 17) -> np.ndarray:
