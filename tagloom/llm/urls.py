@@ -1,7 +1,8 @@
 """URL filter: rules first, then logistic regression on hashed character n-grams of host and path.
 
-The model is trained from a small labelled table of URLs. The table built here follows a rule (words of unwanted and
-of ordinary sites in common host shapes), so that it needs no corpus; any table with `url` and `bad` can take its place.
+The model is trained from a small labelled table of URLs. The one built here follows a rule (topics of block lists and of
+ordinary sites in common shapes of hosts and paths), so that it needs no corpus; any table with `url` and `bad` can take
+its place.
 """
 
 from __future__ import annotations
@@ -17,28 +18,63 @@ from pyspark.sql import Column, DataFrame, functions as F
 BUCKETS, SIZES, MOST_ROWS = 1 << 15, (3, 4, 5), 50_000
 #: Fixed values: (host, path prefix, verdict).
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-#: Words of hosts and paths that name what is unwanted, and ordinary ones.
-BAD_WORDS = ("casino", "pills", "viagra", "poker", "bets", "slots", "spam", "linkfarm", "adult", "xxx", "porn", "escort", "tracker", "ads", "banner", "popunder", "meds", "payday", "loans", "jackpot", "malware", "phish", "crack", "warez")
-GOOD_WORDS = ("news", "library", "school", "museum", "garden", "recipes", "weather", "travel", "science", "history", "music", "forum", "wiki", "docs", "city", "health", "review", "letters", "journal", "archive", "photo", "reader", "theatre", "market", "report", "think", "other", "within", "method", "station")
+#: What block lists name, by topic, and what ordinary sites are called.
+UNWANTED = {
+    "gambling": "casino poker roulette blackjack jackpot slots bets betting bookmaker lottery bingo wager gamble",
+    "pharmacy": "pills viagra cialis meds steroids xanax tramadol weightloss potency dietpills painkiller",
+    "adult": "adult xxx porn sex escort nude webcam erotic hookup fetish",
+    "money": "payday loans forex quickcash getrich bitcoinprofit cashback debtrelief replica",
+    "piracy": "warez torrent crack keygen nulled serialz freedownload",
+    "malware": "malware phish spyware trojan ransom exploit fakelogin",
+    "promotion": "ads adserver banner popunder tracker clickbait linkfarm spam backlinks doorway giveaway prize sweepstake",
+}
+ORDINARY = {
+    "public": "news library school university museum city council court police parliament health hospital weather transport embassy",
+    "culture": "music theatre cinema gallery photo poetry letters journal archive history review reader stories festival",
+    "knowledge": "science wiki docs manual tutorial course research method astronomy biology physics language dictionary maps",
+    "home": "garden recipes kitchen travel hotel hiking family sports football cycling fishing pets birds knitting",
+    "trade": "market shop books furniture bakery dental lawyer architect engineering software studio station repair cars",
+    "talk": "forum blog mail chat think other within about people voices opinion community",
+}
+
+
+def labelled(n: int = 8000, seed: int = 3) -> pd.DataFrame:
+    """A labelled URL table made by rule: one in two names a topic of UNWANTED in its host, or now and then in its path only.
+
+    Names are a word alone, with another word, or with made-up syllables; hosts have the usual subdomains and endings;
+    paths are directories, dates, numbers and files.
+    """
+    rng = np.random.default_rng(seed)
+    bad_words, good_words = (" ".join(topics.values()).split() for topics in (UNWANTED, ORDINARY))
 
+    def pick(xs):
+        return xs[int(rng.integers(len(xs)))]
+
+    def syllables() -> str:
+        return "".join(pick("bcdfghjklmnprstvwz") + pick("aeiou") + pick(("", "", "n", "r", "s", "l", "th", "ck")) for _ in range(int(rng.integers(1, 5))))
+
+    def name(words: list[str], plain: float) -> str:
+        shape, word = rng.random(), pick(words)
+        if shape < 0.35:
+            return word
+        other = syllables() if rng.random() < plain else pick(good_words)
+        one, two = (word, other) if rng.random() < 0.5 else (other, word)
+        return one + pick(("-", "", "")) + two + pick(("", "", "", "24", "online", "365"))
+
+    def path(words: list[str]) -> str:
+        parts = [pick((str(rng.integers(1990, 2030)), str(rng.integers(1, 99_999)), syllables(), pick(words), pick(("en", "de", "fr", "es", "it", "ru", "img", "static", "tag", "p")))) for _ in range(int(rng.integers(0, 4)))]
+        return "/" + "/".join(parts) + pick(("", "", "/", ".html", ".php", ".jpg"))
 
-def labelled(n: int = 6000, seed: int = 3) -> pd.DataFrame:
-    """A labelled URL table: hosts of a bad or an ordinary word, alone, joined or with syllables; paths of languages and numbers."""
-    rng = np.random.default_rng(seed)
-    pick = lambda xs: xs[int(rng.integers(len(xs)))]
-    made = lambda: "".join(pick("bcdfghklmnprstvwyz") * int(rng.random() < 0.9) + pick("aeiou") + pick("nrstdlh") * int(rng.random() < 0.6) + pick("th") * int(rng.random() < 0.3) for _ in range(int(rng.integers(1, 5))))
     rows = []
     for k in range(n):
         bad = k % 2 == 1
-        name = pick(BAD_WORDS) if bad else (made() if rng.random() < 0.7 else pick(GOOD_WORDS))
-        shape = rng.random()
-        if shape < 0.25:
-            name += pick(("-", "")) + (pick(("win", "x", "track", "now", "24", "best", "zone")) if bad else pick((made(), pick(GOOD_WORDS))))
-        elif shape < 0.4:
-            name = (pick(("free", "cheap", "best", "hot")) if bad else pick(("the", "my", "our", "old", made()))) + pick(("-", "")) + name
-        host = pick(("", "", "www.", "m.", "blog.")) + name + "." + pick(("example.com", "example.net", "example.org", "com", "net", "org"))
-        path = "/" + pick(("en", "fr", "de", "es")) + "/" + str(int(rng.integers(100_000))) + pick(("", "/", ".html"))
-        rows.append((pick(("http://", "https://")) + host + path, int(bad)))
+        in_host = rng.random() < 0.85
+        host = name(bad_words, 0.5) if bad and in_host else syllables() if rng.random() < 0.5 else name(good_words, 0.5)
+        host = pick(("", "", "", "www.", "m.", "shop.", "cdn.", syllables() + ".")) + host + pick((".com", ".net", ".org", ".info", ".co.uk", ".de", ".io", ".example.com", ".example.org", ".example.net"))
+        where = path(good_words)
+        if bad and not in_host:
+            where = "/" + name(bad_words, 0.5) + where
+        rows.append((pick(("http://", "https://")) + host + where, int(bad)))
     return pd.DataFrame(rows, columns=["url", "bad"])
 
 
@@ -81,7 +117,8 @@ class Model:
     """Weights of buckets and a bias; `probability` is that of a bad URL."""
 
     def __init__(self, table: pd.DataFrame, rounds: int = 200, rate: float = 0.15, decay: float = 1e-5):
-        table = table.dropna(subset=["url", "bad"]).head(MOST_ROWS)
+        table = table.dropna(subset=["url", "bad"])
+        table = table if len(table) <= MOST_ROWS else table.sample(MOST_ROWS, random_state=0)
         y = table["bad"].to_numpy(np.float64)
         split = [_split(u) for u in table["url"]]
         row, bucket = features([h for h, _ in split], [p for _, p in split])
@@ -117,7 +154,8 @@ def rule_of(host: Column, path: Column, rules: tuple = RULES) -> tuple[Column, C
 def judge(df: DataFrame, table: pd.DataFrame | None = None, rules: tuple = RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """A verdict for each row of `df`: id_col, host, path, rule, verdict (allow or block), score (probability of a bad URL).
 
-    Where no rule fits, the model decides: block from 0.5 on. A null url, or one without `://`, has empty host and path and
+    `table` has `url` and `bad` (0 or 1); of more than MOST_ROWS rows an even sample of that many is fitted on, and without a
+    table that of `labelled` is. Where no rule fits, the model decides: block from 0.5 on. A null url, or one without `://`, has empty host and path and
     is judged by the model like any other. Repeated rows and null ids are kept; only the id and the url are read.
     """
     model = Model(labelled() if table is None else table)
