@@ -83,22 +83,29 @@ def weighted_vote(spark: SparkSession, d: str) -> DataFrame:
 
 
 _ALIAS_SQL = """
-    WITH v AS (SELECT l_orderkey AS k, %s AS value, sum(CAST(l_quantity AS DECIMAL(18,6))) AS w, min(l_linenumber) AS first FROM lineitem GROUP BY ALL),
-    keyed AS (SELECT *, CAST(value AS DOUBLE) AS amount, ltrim(split_part(value, '.', 1), '0') AS shift FROM v),
-    g AS (SELECT k, CASE WHEN length(shift) <= 4 THEN translate(shift, '69', 'gg') ELSE shift END AS alias, sum(w) AS w, min(first) AS first, arg_max(value, w * 1000000000 + amount) AS heaviest,
-          arg_max(value, amount) FILTER (amount >= 5) AS largest, coalesce(bool_or(amount >= 5), false) AND bool_or(amount < 5) AS shift_resolved, count(DISTINCT shift) > 1 AS flip_resolved FROM keyed GROUP BY ALL),
-    c AS (SELECT k, CASE WHEN shift_resolved THEN largest ELSE heaviest END AS value, w, first, shift_resolved, flip_resolved FROM g),
+    WITH raw AS (SELECT l_orderkey AS k, l_quantity AS q, l_linenumber AS i, CAST(floor(l_extendedprice / 100) AS BIGINT) AS n FROM lineitem),
+    said AS (SELECT k, q, i, CASE i % 4 WHEN 0 THEN printf('%d.00', n) WHEN 1 THEN printf('%d,00 р', n) WHEN 2 THEN CAST(n AS VARCHAR) ELSE printf('%d.%02d', n // 100, n % 100) END AS said FROM raw),
+    clean AS (SELECT k, q, i, replace(regexp_replace(said, '[^0-9.,]', '', 'g'), ',', '.') AS c FROM said),
+    normal AS (SELECT k, q, i, printf('%.2f', CAST(CASE WHEN NOT contains(c, '.') AND length(c) >= 4 THEN left(c, length(c) - 2) || '.' || right(c, 2) ELSE c END AS DOUBLE)) AS value FROM clean),
+    v AS (SELECT k, value, sum(CAST(q AS DECIMAL(18,6))) AS w, min(i) AS first FROM normal GROUP BY ALL),
+    keyed AS (SELECT *, CAST(value AS DOUBLE) AS amount, right(value, 2) = '00' AS whole,
+          CASE WHEN right(value, 2) = '00' THEN ltrim(split_part(value, '.', 1), '0') WHEN CAST(value AS DOUBLE) < 100 THEN ltrim(ltrim(split_part(value, '.', 1), '0') || right(value, 2), '0') ELSE ltrim(split_part(value, '.', 1), '0') || right(value, 2) END AS shift FROM v),
+    g AS (SELECT k, CASE WHEN length(shift) <= 4 THEN translate(shift, '69', 'gg') ELSE shift END AS alias, sum(w) AS w, min(first) AS first, arg_max(value, {'w': w, 'a': amount}) AS heaviest,
+          arg_max(value, amount) FILTER (whole AND amount >= 5) AS largest, coalesce(bool_or(whole AND amount >= 5), false) AND bool_or(amount < 5 AND amount > 0) AS shifted, count(DISTINCT shift) > 1 AS flipped FROM keyed GROUP BY ALL),
+    c AS (SELECT k, CASE WHEN shifted THEN largest ELSE heaviest END AS value, w, first, bool_or(shifted) OVER (PARTITION BY k) AS shift_resolved, bool_or(flipped) OVER (PARTITION BY k) AS flip_resolved FROM g),
     r AS (SELECT *, %s FROM c),
     t AS (SELECT k, sum(CAST(w AS DOUBLE)) FILTER (place <= 5) AS total, max(CAST(w AS DOUBLE)) FILTER (place = 1) AS w1, max(CAST(w AS DOUBLE)) FILTER (place = 2) AS w2, max(value) FILTER (place = 1) AS winner,
-          bool_or(shift_resolved) FILTER (place = 1) AS shift_resolved, bool_or(flip_resolved) FILTER (place = 1) AS flip_resolved FROM r GROUP BY k)
+          bool_or(shift_resolved) AS shift_resolved, bool_or(flip_resolved) AS flip_resolved FROM r GROUP BY k)
     SELECT k AS l_orderkey, winner, round(w1, 4) AS weight, coalesce(w2 >= 0.84 * w1, false) AS ambiguous, CASE WHEN total > 0 THEN round(w1 / total, 6) ELSE 0.0 END AS ratio, shift_resolved, flip_resolved FROM t
-""" % (_PRICE_SQL, _LEADERS)
+""".replace("%s", _LEADERS)
 
 
 @query(_ALIAS_SQL)
 def price_alias_vote(spark: SparkSession, d: str) -> DataFrame:
-    line = read(spark, d, "lineitem").withColumn("p", price.two_decimals(F.floor(F.col("l_extendedprice") / 1000)))
-    return votes.price_vote(line, ["l_orderkey"], "p", "l_quantity", "l_linenumber").drop("candidates")
+    n = F.floor(F.col("l_extendedprice") / 100)
+    said = F.concat(n.cast("string"), F.when(F.col("l_linenumber") % 4 == 0, ".00").when(F.col("l_linenumber") % 4 == 1, ",00 р").otherwise(""))
+    said = F.when(F.col("l_linenumber") % 4 == 3, F.concat(F.floor(n / 100).cast("string"), F.lit("."), F.lpad((n % 100).cast("string"), 2, "0"))).otherwise(said)
+    return votes.price_vote(read(spark, d, "lineitem").withColumn("p", said), ["l_orderkey"], "p", "l_quantity", "l_linenumber").drop("candidates")
 
 
 @query()
@@ -207,8 +214,12 @@ _BAND = "CAST(CASE WHEN far <= 0.005 THEN 1.0 WHEN far <= 0.015 THEN 0.92 WHEN f
 @query(_BLOCK_SQL + f""",
     met AS (SELECT q, row, list_distinct(list_filter(regexp_extract_all(lower(qs.text), '[0-9a-z]+'), lambda t: length(t) >= 2)) AS a, list_distinct(list_filter(regexp_extract_all(lower(name), '[0-9a-z]+'), lambda t: length(t) >= 2)) AS b,
         lower(qs.text) AS x, lower(name) AS y, abs(cat.price - qs.price) / greatest(1.0, abs(cat.price), abs(qs.price)) AS far FROM blocks JOIN qs USING (q) JOIN cat USING (row)),
-    s AS (SELECT *, len(list_intersect(a, b)) AS both_, len(list_distinct(list_concat(a, b))) AS any_, 1 - levenshtein(x, y) / greatest(length(x), length(y), 1) AS r, {_BAND} AS p FROM met),
-    t AS (SELECT *, CASE WHEN both_ > 0 THEN least(1.0, 0.66 * both_ / least(len(a), len(b)) + 0.14 * both_ / any_ + 0.20 * r) WHEN least(length(x), length(y)) >= 7 AND (contains(x, y) OR contains(y, x)) THEN 0.34 ELSE 0.0 END AS ts FROM s),
+    f AS (SELECT *, list_transform(a, lambda t: CASE WHEN length(t) >= 5 THEN 1.25 ELSE 1.0 END) AS ws, list_transform(a, lambda t: CASE WHEN list_contains(b, t) THEN 1.0 ELSE coalesce(list_max(list_transform(b, lambda n:
+        CASE WHEN abs(length(t) - length(n)) > greatest(3, floor(0.55 * greatest(length(t), length(n)))) THEN 0.0 WHEN length(t) >= 3 AND (contains(t, n) OR contains(n, t)) THEN least(0.96, 0.72 + 0.04 * least(length(t), length(n)))
+        ELSE 1 - levenshtein(t, n) / greatest(length(t), length(n)) END)), 0.0) END) AS ss FROM met),
+    h AS (SELECT *, len(list_filter(ss, lambda s: s >= 0.74)) AS hits, list_sum(list_transform(list_zip(ws, ss), lambda z: CASE WHEN z[2] >= 0.74 THEN z[1] * z[2] ELSE 0.0 END)) / list_sum(ws) AS fuzzy FROM f),
+    s AS (SELECT *, len(list_intersect(a, b)) AS both_, len(list_distinct(list_concat(a, b))) AS any_, greatest(len(list_intersect(a, b)) / len(a), fuzzy) AS cover, 1 - levenshtein(x, y) / greatest(length(x), length(y), 1) AS r, {_BAND} AS p FROM h),
+    t AS (SELECT *, CASE WHEN both_ > 0 OR hits > 0 THEN least(1.0, 0.66 * cover + 0.14 * both_ / any_ + 0.20 * CASE WHEN cover >= 0.16 OR both_ >= 2 OR hits >= 2 THEN r ELSE 0.0 END) WHEN length(x) >= 7 AND (contains(x, y) OR contains(y, x)) THEN 0.34 ELSE 0.0 END AS ts FROM s),
     u AS (SELECT q, row, ts, p, ts >= 0.26 AS is_text, round(CASE WHEN ts >= 0.26 THEN 0.78 * ts + 0.22 * p ELSE least(1.0, 0.22 + 0.60 * p + 0.18 * ts) END, 6) AS score FROM t WHERE ts >= 0.26 OR p >= 0.98),
     w AS (SELECT *, row_number() OVER (PARTITION BY q, is_text ORDER BY score DESC, row) AS n FROM u),
     z AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY is_text DESC, n) AS place FROM w WHERE is_text OR n <= 5)
@@ -323,7 +334,7 @@ def json_props(spark: SparkSession, d: str) -> DataFrame:
 def price_extract(spark: SparkSession, d: str) -> DataFrame:
     r, k = F.floor("o_totalprice") % 99999, F.floor(F.col("o_totalprice") * 7) % 100
     label = F.concat(F.lit("цена "), r.cast("string"), F.lit(" - "), F.lpad(k.cast("string"), 2, "0"), F.lit(" ₽"))
-    c = F.get(price.candidates(label), F.lit(0))
+    c = F.get(price.candidates(label, compact=False), F.lit(0))
     return read(spark, d, "orders").select("o_orderkey", c["value"].alias("value"), c["confidence"].alias("confidence"))
 
 
@@ -374,8 +385,8 @@ def frame_timestamp(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""
     WITH v AS (SELECT l_orderkey AS k, count(DISTINCT l_returnflag) AS prices, count(DISTINCT l_linestatus) AS products, max(l_discount) * 10 AS r, max(l_tax) * 12 AS q, min(l_extendedprice) / 5000 AS p, max(l_tax) * 10 AS c FROM lineitem GROUP BY 1),
-    s AS (SELECT k, round(CASE WHEN prices >= 4 AND r < 0.58 THEN 0.42 ELSE 0.0 END + CASE WHEN NOT (prices >= 4 AND r < 0.58) AND prices >= 2 AND r < 0.58 THEN 0.24 ELSE 0.0 END + CASE WHEN products >= 2 AND q < 0.72 THEN 0.18 ELSE 0.0 END
-        + CASE WHEN p < 2.0 THEN 0.22 ELSE 0.0 END + CASE WHEN c < 0.5 THEN 0.26 ELSE 0.0 END + CASE WHEN products >= 2 THEN 0.12 ELSE 0.0 END, 4)::DOUBLE AS score, prices >= 4 AND r < 0.58 AS unstable FROM v)
+    s AS (SELECT k, round(least(1.0, CASE WHEN prices >= 4 AND r < 0.58 THEN 0.42 ELSE 0.0 END + CASE WHEN NOT (prices >= 4 AND r < 0.58) AND prices >= 2 AND r < 0.58 THEN 0.24 ELSE 0.0 END + CASE WHEN products >= 2 AND q < 0.72 THEN 0.18 ELSE 0.0 END
+        + CASE WHEN p < 2.0 THEN 0.22 ELSE 0.0 END + CASE WHEN c < 0.5 THEN 0.26 ELSE 0.0 END + CASE WHEN products >= 2 THEN 0.12 ELSE 0.0 END), 4)::DOUBLE AS score, prices >= 4 AND r < 0.58 AS unstable FROM v)
     SELECT k AS l_orderkey, score, CASE WHEN score >= 0.68 THEN 'rejected_false_candidate' WHEN unstable THEN 'mixed_track_review' WHEN score >= 0.45 THEN 'needs_review' ELSE 'ok' END AS status FROM s
 """)
 def track_review(spark: SparkSession, d: str) -> DataFrame:
