@@ -48,27 +48,26 @@ def duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five-word shingles, 0.8) the row of smallest id stays.
 
     Of rows that repeat id and text, one stays, that whose columns are smallest as JSON's hash. Rows without an id, or
-    that share one with another text, count as documents that come after all others. Null and wordless texts are copies
+    that share one with another text, count as documents of their own that come after all others. Null and wordless texts are copies
     of nothing but rows of the same id.
     """
     base.small_batches(spark)
-    key, times = base.fresh(docs, "row_key", "row_times")
+    key, twin, many = base.fresh(docs, "row_key", "row_twin", "row_many")
     every = base.quoted(docs.columns)
     own = F.pmod(F.xxhash64("doc_id", "text"), F.lit(BEYOND)) + F.lit(BEYOND)
-    # ids that don't name one row
-    odd = docs.groupBy("doc_id").agg(F.count("*").alias(times)).where(f"`{times}` > 1 and doc_id is not null")
-    odd = base.materialise(odd.select(F.col("doc_id").alias(times)))
-    nameless = docs.where("doc_id is null")
+    # ids that don't name one row, and whether their texts differ
+    of = F.xxhash64("text")
+    odd = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias(twin)).agg(F.count("*").alias("n"), (F.min(of) != F.max(of)).alias(many)).where("n > 1").drop("n")
+    odd, nameless = base.materialise(odd), docs.where("doc_id is null")
     if odd.isEmpty() and nameless.isEmpty():
         rows = docs.withColumn(key, F.col("doc_id").cast("long"))
     else:
-        named = docs.where("doc_id is not null").join(odd, F.col("doc_id") == F.col(times), "left")
-        named = named.withColumn(key, F.when(F.col(times).isNull(), F.col("doc_id").cast("long")).otherwise(own)).drop(times)
-        rows = named.unionByName(nameless.withColumn(key, own))
+        named = docs.where("doc_id is not null").join(odd, F.col("doc_id") == F.col(twin), "left")
+        named = named.withColumn(key, F.when(F.col(many), own).otherwise(F.col("doc_id").cast("long")))
         place = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(F.to_json(F.struct(*every)))))
-        single, many = rows.where(F.col(key) < BEYOND), rows.where(F.col(key) >= BEYOND)
-        rows = single.unionByName(many.withColumn(times, place).where(f"`{times}` = 1").drop(times))
-        rows = base.materialise(rows)
+        repeated = named.where(F.col(twin).isNotNull()).drop(twin, many).unionByName(nameless.withColumn(key, own))
+        repeated = repeated.withColumn(many, place).where(F.col(many) == 1).drop(many)
+        rows = base.materialise(named.where(F.col(twin).isNull()).drop(twin, many).unionByName(repeated))
     gone = neardup.groups(rows.select(key, "text"), id_col=key).where("not kept").select(key).distinct()
     return rows.join(gone, key, "left_anti").select(*every)
 
