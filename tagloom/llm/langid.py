@@ -144,10 +144,12 @@ def _guess(df: DataFrame, model: Model | None, text_col: str, keep: list[str], n
     shared = df.sparkSession.sparkContext.broadcast(model)
     added = [T.StructField(name, kind) for name, kind in (("lang_", T.StringType()), ("score_", T.DoubleType()), ("unsure_", T.BooleanType()))]
 
+    wide, place = len(keep), keep.index(text_col) if text_col in keep else len(keep)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            at, raw = base.text_buffer(batch.column(0))
+            at, raw = base.text_buffer(batch.column(place))
             n = batch.num_rows
             lang, score, unsure = np.full(n, UNKNOWN, object), np.zeros(n), np.zeros(n, bool)
             for start in range(0, n if model else 0, 512):
@@ -160,12 +162,12 @@ def _guess(df: DataFrame, model: Model | None, text_col: str, keep: list[str], n
                 score[rows] = p.max(1)
                 if p.shape[1] > 1:
                     unsure[rows] = top[:, -1] - top[:, -2] < AMBIGUOUS
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(lang, pa.string()), pa.array(np.clip(score, 0, 1)), pa.array(unsure)], names=[*batch.schema.names[1:], *(f.name for f in added)])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:wide], pa.array(lang, pa.string()), pa.array(np.clip(score, 0, 1)), pa.array(unsure)], names=[*batch.schema.names[:wide], *(f.name for f in added)])
 
     # numbered on the way: mapInArrow can't take names with dots
-    kept = df.select(*base.quoted(keep)).toDF(*(f"c{i}" for i in range(len(keep)))).schema.fields
-    rows = df.select(*base.quoted([text_col, *keep])).toDF("text", *(f.name for f in kept))
-    return rows.mapInArrow(work, T.StructType([*kept, *added])).toDF(*keep, *names)
+    sent = list(dict.fromkeys([*keep, text_col]))
+    rows = df.select(*base.quoted(sent)).toDF(*(f"c{i}" for i in range(len(sent))))
+    return rows.mapInArrow(work, T.StructType([*rows.schema.fields[: len(keep)], *added])).toDF(*keep, *names)
 
 
 def remainder(id_col: str, of: int) -> Column:
