@@ -48,7 +48,7 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Let texts reach Python in batches of few rows, as one batch of Spark's usual size can hold gigabytes of long texts."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(name)) > rows:
