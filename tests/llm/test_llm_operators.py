@@ -303,3 +303,15 @@ def test_neighbours_across_ranges(spark, monkeypatch):
     assert found() == whole
     want = {(q, int(i)) for q in range(0, 1500, 20) for i in np.argsort(-(vectors @ vectors[q] - 1e9 * (np.arange(1500) == q)), kind="stable")[:20]}
     assert len(want & {(q, i) for q, _, i, _ in whole}) >= 0.93 * len(want)
+
+
+def test_bpe_edits_far_from_the_end():
+    c, rnd = codec(), random.Random(8)
+    piece = prose(4, 400).replace(" ", "").encode()
+    d = bpe.Document(c.encoder, piece)
+    for _ in range(10):
+        start = rnd.randrange(len(d.piece) - 10)
+        again = d.replace(start, start + rnd.randrange(6), rnd.choice((b"", b"the", b"zq9")))
+        assert d.last == bpe.Document(c.encoder, d.piece).last
+        assert start > len(d.piece) - 600 or again < 600  # not up to the end
+    assert d.tokens() == list(next(c.encoder.encode_sorted([d.piece])))
