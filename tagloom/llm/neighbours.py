@@ -115,8 +115,8 @@ def search(df: DataFrame, is_query: str, k: int = 20, id_col: str = "vec_id", ve
         return work
 
     shape = "key long, id long, asks boolean, vec array<double>"
-    n_ranges = max(1, -(-n_points * TREES // RANGE_ROWS), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    n_ranges = TREES * -(-n_ranges // TREES)
+    # by the table's size alone: each range gives every query that reaches it k + 1 rows, so more ranges are more rows
+    n_ranges = TREES * max(1, -(-n_points // RANGE_ROWS))
     # first keys of the ranges: those of the trees, and between them quantiles of about 50 keys a range
     some = points.where(F.pmod(F.xxhash64("id", F.lit(9)), F.lit(max(1, n_points * TREES // (n_ranges * 50)))) == 0)
     drawn_keys = np.sort(some.select("id", "vec", "norm").mapInArrow(hashed(False), shape).select("key").toArrow()["key"].to_numpy())

@@ -299,6 +299,12 @@ def test_neighbours_across_ranges(spark, monkeypatch):
         return {(r.query_id, r.rank, r.vec_id, r.score) for r in neighbours.search(table, "id % 20 = 0").collect()}
 
     whole = found()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        assert found() == whole
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     monkeypatch.setattr(neighbours, "RANGE_ROWS", 100)
     assert found() == whole
     want = {(q, int(i)) for q in range(0, 1500, 20) for i in np.argsort(-(vectors @ vectors[q] - 1e9 * (np.arange(1500) == q)), kind="stable")[:20]}
