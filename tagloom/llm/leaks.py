@@ -216,12 +216,17 @@ class Benchmark:
             at = start + k[new]
             yield from zip(doc[at].tolist(), item[new].tolist(), ((at - first[doc[at]]) * STEP).tolist(), cosine[new].tolist(), strict=True)
 
+    def possible(self, item: int, there: set[bytes]) -> bool:
+        """Whether enough of the item's words are there to be in common order."""
+        own = self.words[item]
+        return sum(w in there for w in own) >= PARAPHRASE * len(own)
+
     def compare(self, item: int, text: list[bytes], passage: int) -> tuple[float, bool]:
         """Share of the item in the text around a passage, and whether it is a leak."""
         own = self.words[item]
         around = text[max(0, passage - len(own)) : passage + 2 * HALF + len(own)]
         there = set(around)
-        if sum(w in there for w in own) < PARAPHRASE * len(own):  # no more can be in common order
+        if not self.possible(item, there):
             return 0.0, False
         share = common(own, around) / len(own)
         if share >= COPY or share < PARAPHRASE:
@@ -285,6 +290,11 @@ def find(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str
                             if doc not in text_of:
                                 a, b = words.first[doc], words.first[doc + 1]
                                 text_of = {doc: [data[s:e] for s, e in zip(words.start[a:b].tolist(), words.end[a:b].tolist(), strict=True)]}
+                                every, may = set(text_of[doc]), {}
+                            if item not in may:  # what the whole text lacks, no passage of it has
+                                may[item] = bench.possible(item, every)
+                            if not may[item]:
+                                continue
                             share, leak = bench.compare(item, text_of[doc], passage)
                             if leak:
                                 old = best.get((doc, item), (0.0, 0.0))
