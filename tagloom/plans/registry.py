@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tagloom.functions import geometry, price, scores, text
-from tagloom.operators import catalog, consensus, coords, export, readings, sequences, tracks, votes
+from tagloom.operators import catalog, consensus, coords, export, pairs, readings, sequences, tracks, votes
 from tagloom.sources import tables
 from tagloom.streaming import assign
 
@@ -243,10 +243,8 @@ def catalog_price_bands(spark: SparkSession, d: str) -> DataFrame:
     SELECT a.p_partkey AS a, b.p_partkey AS b, len(list_intersect(a.t, b.t)) / least(len(a.t), len(b.t)) AS overlap FROM w a JOIN w b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey
 """)
 def token_overlap(spark: SparkSession, d: str) -> DataFrame:
-    p = read(spark, d, "part").select("p_partkey", "p_brand", "p_size", "p_name")
-    a, b = p.alias("a"), p.alias("b")
-    met = a.join(b, (F.col("a.p_brand") == F.col("b.p_brand")) & (F.col("a.p_size") == F.col("b.p_size")) & (F.col("a.p_partkey") < F.col("b.p_partkey")))
-    return met.select(F.col("a.p_partkey").alias("a"), F.col("b.p_partkey").alias("b"), text.overlap(F.col("a.p_name"), F.col("b.p_name")).alias("overlap"))
+    p = read(spark, d, "part").select("p_partkey", "p_brand", "p_size", F.array_sort(text.words(F.col("p_name"))).alias("words"))
+    return pairs.scored(p, ["p_brand", "p_size"], "p_partkey", "words", text.set_overlap).withColumnRenamed("score", "overlap")
 
 
 @query("""

@@ -2,6 +2,7 @@
 
 import duckdb
 import __spark_entry__ as entry
+from tagloom.operators import pairs
 
 
 def against_sql(spark, tmp_path, name, table, columns, rows):
@@ -17,3 +18,16 @@ def test_tokens_of_two_texts(spark, tmp_path):
     rows = [(25 * 10 + c, c, 2450.0) for c in (0, 1, 100, 203, 300)] + [(1, 7, 99.0), (2, 0, 99999.0)]
     got, want = against_sql(spark, tmp_path, "price_logic", "orders", "o_orderkey long, o_custkey long, o_totalprice double", rows)
     assert got == want
+
+
+def test_overlap_of_distinct_values(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(pairs, "PAIR_CHUNK", 7)
+    names = ["large ring", "ring large", "small bolt", "large bolt steel"]
+    rows = [(k, names[k * 7 % 4], f"b{k % 2}", k % 3 if k % 3 else None) for k in range(90)]
+    got, want = against_sql(spark, tmp_path, "token_overlap", "part", "p_partkey long, p_name string, p_brand string, p_size int", rows)
+    assert got == want and len(got) > 400
+    # two names make three scores, however many rows have them: millions of pairs
+    spark.range(6000).selectExpr("id AS p_partkey", "if(id % 2 = 0, 'large ring', 'small ring') AS p_name", "'b' AS p_brand", "1 AS p_size").write.parquet(f"{tmp_path}/many/part.parquet")
+    many = entry.queries()["token_overlap"](spark, f"{tmp_path}/many")
+    assert "words" not in many._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
+    assert {(r.overlap, r.n) for r in many.groupBy("overlap").agg({"*": "count"}).toDF("overlap", "n").collect()} == {(1.0, 2 * (3000 * 2999 // 2)), (0.5, 3000 * 3000)}
