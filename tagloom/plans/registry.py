@@ -299,10 +299,7 @@ def focus_norm(spark: SparkSession, d: str) -> DataFrame:
     SELECT a, place, b, score FROM r WHERE place <= 4
 """)
 def cosine_topk(spark: SparkSession, d: str) -> DataFrame:
-    e = read(spark, d, "embeddings")
-    a, b = e.select("label", F.col("vec_id").alias("a"), F.col("embedding").alias("x")), e.select("label", F.col("vec_id").alias("b"), F.col("embedding").alias("y"))
-    pairs = a.join(b, "label").where("a <> b").withColumn("score", F.round(geometry.cosine(F.col("x"), F.col("y")), 9))
-    return votes.top_rows(pairs, ["a"], F.col("score"), "b", 4).select("a", "place", "b", "score")
+    return pairs.nearest(read(spark, d, "embeddings"), "label", "vec_id", "embedding", 4)
 
 
 @query("SELECT p_partkey AS id, min(p_partkey) OVER (PARTITION BY p_brand, p_type, p_size) AS component FROM part QUALIFY count(*) OVER (PARTITION BY p_brand, p_type, p_size) > 1")

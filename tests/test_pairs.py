@@ -1,6 +1,9 @@
 """Queries whose rows meet in pairs, against their SQL on tables with copies, and on sizes where every pair is dear."""
 
 import duckdb
+import numpy as np
+import pytest
+
 import __spark_entry__ as entry
 from tagloom.operators import pairs
 
@@ -31,3 +34,37 @@ def test_overlap_of_distinct_values(spark, tmp_path, monkeypatch):
     many = entry.queries()["token_overlap"](spark, f"{tmp_path}/many")
     assert "words" not in many._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
     assert {(r.overlap, r.n) for r in many.groupBy("overlap").agg({"*": "count"}).toDF("overlap", "n").collect()} == {(1.0, 2 * (3000 * 2999 // 2)), (0.5, 3000 * 3000)}
+
+
+def test_cosines_in_chunks(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(3)
+    near = rng.normal(size=(60, 8)).round(2)
+    rows = [(k, [float(x) for x in near[k % 60] * (1 + k // 60 % 2)], k % 2 if k % 11 else None) for k in range(400)]
+    got = []
+    for chunk, block in ((8192, 512), (50, 16)):
+        monkeypatch.setattr(pairs, "VECTOR_CHUNK", chunk)
+        monkeypatch.setattr(pairs, "BLOCK", block)
+        one, want = against_sql(spark, tmp_path / str(chunk), "cosine_topk", "embeddings", "vec_id long, embedding array<float>, label int", rows)
+        assert one == want
+        got.append(one)
+    assert got[0] == got[1]
+
+
+def test_cosines_of_odd_vectors(spark, tmp_path):
+    rows = [(1, [1.0, 2.0], 0), (2, [0.0, 0.0], 0), (3, None, 0), (4, [2.0, 1.0], 0), (5, [float("nan"), 1.0], 0), (6, [1.0, 1.0], 1), (7, [1.0, 1.0], None), (None, [1.0, 1.0], 0)]
+    got, want = against_sql(spark, tmp_path, "cosine_topk", "embeddings", "vec_id long, embedding array<float>, label int", rows)
+    assert got == want
+
+
+def test_cosines_of_many_vectors(spark):
+    """30,000 vectors of one label are 900 million pairs."""
+    x = np.random.default_rng(4).normal(size=(30_000, 8)).astype(np.float32)
+    df = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(x)], "id long, v array<float>, label int")
+    got = pairs.nearest(df, "label", "id", "v", 4).where("a % 1000 = 0").collect()
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    for q in range(0, 30_000, 1000):
+        near = unit @ unit[q]
+        near[q] = -2
+        best = np.argsort(-near)[:4]
+        mine = sorted((r.place, r.b, r.score) for r in got if r.a == q)
+        assert [b for _, b, _ in mine] == best.tolist() and [s for _, _, s in mine] == pytest.approx(near[best], abs=1e-9)
