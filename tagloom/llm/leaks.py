@@ -94,39 +94,50 @@ def _passages(text: str, idf: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]
 def latent_space(items: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int = 1) -> np.ndarray:
     """Right singular vectors (buckets x rank) of the passages of a table (item, text), by randomised subspace iteration.
 
-    A task sends a buckets x (rank + OVERSAMPLE) sum at most, and there are eight tasks, so the driver's share is bounded.
+    Only buckets with words of the table have rows on the way. A task sends a (rank + OVERSAMPLE) sum for each of them at
+    most, and there are eight tasks, so the driver's share is bounded.
     """
     dealt = base.materialise(items.select("text").where("text is not null").repartition(8))
     width = rank + OVERSAMPLE
 
-    def product(basis: np.ndarray, square: bool) -> np.ndarray:
-        """A'(A basis), or with `square` basis' A' A basis."""
+    def product(basis: tuple[np.ndarray, np.ndarray] | None, square: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and values of A'(A basis), or with `square` of basis' A' A basis. Without a basis, of a random one."""
+        width_ = basis[1].shape[1] if basis else width
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros((width if square else BUCKETS, width), np.float32)
+            place, own = np.arange(BUCKETS), basis[1] if basis else np.random.default_rng(seed).normal(size=(BUCKETS, width_)).astype(np.float32)
+            if basis:
+                place[basis[0]] = np.arange(len(own))
+            total = np.zeros((width_ if square else len(own), width_), np.float32)
             for batch in batches:
                 for text in batch.column(0).to_pylist():
                     for at, value in _passages(text, idf):
-                        y = value @ basis[at]
+                        at = place[at]
+                        y = value @ own[at]
                         if square:
                             total += np.outer(y, y)
                         else:
                             total[at] += np.outer(value, y)
             for row in np.flatnonzero(total.any(1)):
-                yield pa.RecordBatch.from_arrays([pa.array([row], pa.int32()), pa.array([total[row].tobytes()], pa.binary())], names=["row", "x"])
+                yield pa.RecordBatch.from_arrays([pa.array([basis[0][row] if basis and not square else row], pa.int32()), pa.array([total[row].tobytes()], pa.binary())], names=["row", "x"])
 
-        out = np.zeros((width if square else BUCKETS, width))
-        for row, x in dealt.mapInArrow(work, "row int, x binary").toPandas().itertuples(index=False):
-            out[row] += np.frombuffer(x, np.float32)
-        return out
+        got = dealt.mapInArrow(work, "row int, x binary").toPandas()
+        rows = np.arange(width_) if square else np.unique(got["row"].to_numpy())
+        out = np.zeros((len(rows), width_))
+        for at, x in zip(np.searchsorted(rows, got["row"].to_numpy()), got["x"], strict=True):
+            out[at] += np.frombuffer(x, np.float32)
+        return rows, out
 
-    basis = np.random.default_rng(seed).normal(size=(BUCKETS, width)).astype(np.float32)
+    basis = None
     for _ in range(POWER):
-        basis = np.linalg.qr(product(basis, False))[0].astype(np.float32)
-    value, vector = np.linalg.eigh(product(basis, True))
+        rows, sums = product(basis, False)
+        basis = rows, np.linalg.qr(sums)[0].astype(np.float32)
+    value, vector = np.linalg.eigh(product(basis, True)[1])
     keep = np.argsort(-value)[:rank]
-    keep = keep[value[keep] > 1e-6 * max(value.max(), 1e-12)]
-    return np.ascontiguousarray(basis @ vector[:, keep].astype(np.float32))
+    keep = keep[value[keep] > 1e-6 * max(value.max(initial=0), 1e-12)]
+    space = np.zeros((BUCKETS, len(keep)), np.float32)
+    space[basis[0]] = basis[1] @ vector[:, keep].astype(np.float32)
+    return space
 
 
 def common(a: list[bytes], b: list[bytes]) -> int:

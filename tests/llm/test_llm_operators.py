@@ -7,10 +7,11 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, hmm, langid, leaks, licences, lines, neardup, neighbours, substrings, urls
+from tagloom.llm import base, bpe, hmm, langid, leaks, licences, lines, neardup, neighbours, substrings, urls
 
 WORDS = [f"{a}{b}{c}" for a in ("ba", "ko", "mi", "tu") for b in ("ra", "le", "no", "si") for c in ("", "x", "n", "th")]
 
@@ -321,3 +322,17 @@ def test_bpe_edits_far_from_the_end():
         assert d.last == bpe.Document(c.encoder, d.piece).last
         assert start > len(d.piece) - 600 or again < 600  # not up to the end
     assert d.tokens() == list(next(c.encoder.encode_sorted([d.piece])))
+
+
+def test_latent_space_in_little_memory(spark):
+    import tracemalloc
+
+    rows = [(" ".join(f"w{k}x{i}" for i in range(60)),) for k in range(12)]
+    tracemalloc.start()
+    space = leaks.latent_space(spark.createDataFrame(rows, "text string"), np.ones(leaks.BUCKETS, np.float32))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    passages = [p for (t,) in rows for p in leaks._passages(t, np.ones(leaks.BUCKETS, np.float32))]
+    assert space.shape[0] == leaks.BUCKETS and peak < 40e6  # rows of all buckets took over 100 MB of the driver
+    assert all(np.linalg.norm(value @ space[at]) == pytest.approx(1, abs=1e-3) for at, value in passages)
+    assert leaks.latent_space(spark.createDataFrame([("",)], "text string"), np.ones(leaks.BUCKETS, np.float32)).shape == (leaks.BUCKETS, 0)
