@@ -64,8 +64,12 @@ def frequencies(texts: DataFrame) -> np.ndarray:
             for i, j in base.chunks(at):
                 words, h = _words(at[i : j + 1], raw)
                 half, first = _halves(words)
-                seen = np.unique(half * BUCKETS + _bucket(h))
-                total[:-1] += np.bincount(seen % BUCKETS, minlength=BUCKETS)
+                seen = half * BUCKETS + _bucket(h)
+                if first[-1] * BUCKETS < 1 << 31:
+                    seen = seen.astype(np.int32)
+                seen.sort()
+                seen = seen[np.concatenate(([True], seen[1:] != seen[:-1]))] if len(seen) else seen
+                total[:-1] += np.bincount(seen & (BUCKETS - 1), minlength=BUCKETS)
                 total[-1] += first[-1]
         yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(total).astype(np.int32)), pa.array(total[total > 0])], names=["bucket", "n"])
 
@@ -212,11 +216,14 @@ class Benchmark:
             for j in range(1, longest + 1):
                 if j > 1:
                     same = doc[start + j - 1 : start + j - 1 + m] == doc[start : start + m]
-                    vector += x[j - 1 : j - 1 + m] * same[:, None]
+                    other = np.flatnonzero(~same)
+                    kept = vector[other]  # windows that would leave their text stay as they are
+                    vector += x[j - 1 : j - 1 + m]
+                    vector[other] = kept
                     norm2 += size[start + j - 1 : start + j - 1 + m] * same
                 if j in LENGTHS:
                     norm = np.sqrt(np.maximum(norm2, 1e-9)).astype(np.float32)
-                    near = np.flatnonzero(np.sqrt((vector * vector).sum(1)) >= least.min(initial=1) * norm)
+                    near = np.flatnonzero(np.einsum("ij,ij->i", vector, vector) >= (least.min(initial=1) * (1 - 1e-5) * norm) ** 2)
                     cosine = vector[near] @ self.latent.T / norm[near][:, None]
                     r, c = np.nonzero(cosine >= least)
                     found.append((near[r], self.owner[c], cosine[r, c]))

@@ -336,3 +336,12 @@ def test_latent_space_in_little_memory(spark):
     assert space.shape[0] == leaks.BUCKETS and peak < 40e6  # rows of all buckets took over 100 MB of the driver
     assert all(np.linalg.norm(value @ space[at]) == pytest.approx(1, abs=1e-3) for at, value in passages)
     assert leaks.latent_space(spark.createDataFrame([("",)], "text string"), np.ones(leaks.BUCKETS, np.float32)).shape == (leaks.BUCKETS, 0)
+
+
+def test_leaks_windows_stay_in_their_text():
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{w}" for w in rng.integers(0, 300, n)) for n in (5, 300, 0, 40, 25, 2000, 13)]
+    idf, space = np.ones(leaks.BUCKETS, np.float32), rng.normal(size=(leaks.BUCKETS, 16)).astype(np.float32)
+    bench = leaks.Benchmark([(k, t, None) for k, t in enumerate(texts)], idf, space)
+    found = lambda some: [(d, i, p, round(c, 4)) for d, i, p, c in bench.candidates(*leaks._words(*base.text_buffer(pa.array(some))), idf)]
+    assert found(texts) == [(d, i, p, c) for d, t in enumerate(texts) for _, i, p, c in found([t])]
