@@ -345,3 +345,16 @@ def test_leaks_windows_stay_in_their_text():
     bench = leaks.Benchmark([(k, t, None) for k, t in enumerate(texts)], idf, space)
     found = lambda some: [(d, i, p, round(c, 4)) for d, i, p, c in bench.candidates(*leaks._words(*base.text_buffer(pa.array(some))), idf)]
     assert found(texts) == [(d, i, p, c) for d, t in enumerate(texts) for _, i, p, c in found([t])]
+
+
+def test_hmm_lots_of_texts_together():
+    rng = np.random.default_rng(2)
+    m = hmm.Model(np.full(3, 1 / 3), rng.dirichlet(np.ones(3), 3), rng.dirichlet(np.ones(9), 3).T)
+    lots = [(rng.integers(0, 9, sum(n)).astype(np.int32), np.concatenate(([0], np.cumsum(n)))) for n in ([3, 1, 200], [1], [40, 7])]
+    cls, first = hmm._joined(lots)
+    assert hmm.likelihood(m, cls, first) == pytest.approx(np.concatenate([hmm.likelihood(m, *lot) for lot in lots]))
+    apart, joined = hmm.Counts(3, 9), hmm.Counts(3, 9)
+    for lot in lots:
+        apart.add(m, *lot)
+    joined.add(m, cls, first)
+    assert joined.cells() == pytest.approx(apart.cells())
