@@ -95,13 +95,13 @@ def _passages(text: str, idf: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]
     return out
 
 
-def latent_space(items: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int = 1) -> np.ndarray:
+def latent_space(items: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int = 1, tasks: int = 8) -> np.ndarray:
     """Right singular vectors (buckets x rank) of the passages of a table (item, text), by randomised subspace iteration.
 
     Only buckets with words of the table have rows on the way. A task sends a (rank + OVERSAMPLE) sum for each of them at
-    most, and there are eight tasks, so the driver's share is bounded.
+    most, and there are few tasks, so the driver's share is bounded.
     """
-    dealt = base.materialise(items.select("text").where("text is not null").repartition(8))
+    dealt = base.materialise(items.select("text").where("text is not null").repartition(tasks))
     width = rank + OVERSAMPLE
 
     def product(basis: tuple[np.ndarray, np.ndarray] | None, square: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -269,8 +269,9 @@ def parts(rows: list[tuple], idf: np.ndarray) -> Iterator[list[tuple]]:
 def prepare(spark: SparkSession, rows: list[tuple], idf: np.ndarray) -> Benchmark:
     """A part with the smallest rank, in steps of RANK / 2, at which all its passages keep KEPT of their norm."""
     items, rank = spark.createDataFrame([(text,) for _, text, _ in rows], "text string"), RANK
+    tasks = max(1, min(8, -(-sum(len(_passages(text or "", idf)) for _, text, _ in rows) // PART)))  # one, but for an item longer than a part
     while True:
-        part = Benchmark(rows, idf, latent_space(items, idf, rank))
+        part = Benchmark(rows, idf, latent_space(items, idf, rank, tasks=tasks))
         if part.kept.min(initial=1) >= KEPT or rank >= len(part.owner):
             return part
         rank += RANK // 2

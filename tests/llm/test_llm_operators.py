@@ -358,3 +358,31 @@ def test_hmm_lots_of_texts_together():
         apart.add(m, *lot)
     joined.add(m, cls, first)
     assert joined.cells() == pytest.approx(apart.cells())
+
+
+def test_langid_fit_in_little_memory(spark):
+    import tracemalloc
+
+    table = spark.range(1500).selectExpr("id doc_id", "if(id % 2 = 0, 'aa', 'bb') lang", "concat(if(id % 2 = 0, 'tha wash ', 'eaux zwi '), id) text")
+    tracemalloc.start()
+    model = langid.fit(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 5e6  # the sample on the driver took over 30 MB
+    assert model.langs == ["aa", "bb"]
+    assert langid.predict(table, model).join(table, "doc_id").where("lang_pred <> lang").count() == 0
+
+
+def test_train_bits_by_blocks():
+    rng = np.random.default_rng(3)
+    x, y = rng.random((70, langid.BUCKETS)).astype(np.float16), rng.choice([-1.0, 1.0], (70, 5))
+    x /= np.linalg.norm(x.astype(np.float32), axis=1)[:, None].astype(np.float16)
+    (w, b), (w2, b2) = langid.train_bits([x], y, 20), langid.train_bits([x[:1], x[1:33], x[33:]], y, 20)
+    assert np.allclose(w, w2, atol=1e-3) and np.allclose(b, b2, atol=1e-3)
+
+
+def test_latent_space_by_tasks(spark):
+    items, idf = spark.createDataFrame([(" ".join(f"w{k}x{i}" for i in range(60)),) for k in range(12)], "text string"), np.ones(leaks.BUCKETS, np.float32)
+    one, two = leaks.latent_space(items, idf, tasks=1), leaks.latent_space(items, idf)
+    assert one.shape == two.shape
+    assert np.allclose(one @ (one.T @ two), two, atol=1e-3)  # the same space
