@@ -30,18 +30,20 @@ def _chunked(df: DataFrame, keys: list[str], id_col: str, rows: int) -> DataFram
     return whole.join(sizes, keys).withColumn("chunk", F.pmod(F.xxhash64(id_col), "chunks").cast("int"))
 
 
-def scored(df: DataFrame, keys: list[str], id_col: str, value: str, score: Callable[[Column, Column], Column]) -> DataFrame:
+def scored(df: DataFrame, keys: list[str], id_col: str, value: str, score: Callable[[Column, Column], Column], b_null: float | None = None) -> DataFrame:
     """(a, b, score): all pairs of rows that share the keys, a < b. The (symmetric) score is worked out once for each two distinct values.
 
+    A null value is a value too; `b_null` is the score where b's alone is null.
     Rows of one value and chunk are one unit, with an array of their ids; units meet, and their ids are paired last.
     """
     units = _chunked(df, keys, id_col, PAIR_CHUNK).groupBy(*keys, "chunks", "chunk", value).agg(F.collect_list(id_col).alias("ids"))
     one = units.select(*keys, F.struct(F.col(value).alias("value"), "chunk").alias("u"), F.col("ids").alias("x"), F.col("chunk").alias("part"))
     two = units.select(*keys, F.struct(F.col(value).alias("value"), "chunk").alias("v"), F.col("ids").alias("y"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("part"))
     met = one.repartition(*keys, "part").join(two.repartition(*keys, "part"), [*keys, "part"]).where("u <= v")
-    met = met.select((F.col("u") == F.col("v")).alias("same"), "x", "y", score(F.col("u.value"), F.col("v.value")).alias("score"))
-    each = met.select("same", "y", "score", F.explode("x").alias("x")).select("same", "x", "score", F.explode("y").alias("y")).where("x < y or (x > y and not same)")
-    return each.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "score")
+    met = met.select((F.col("u") == F.col("v")).alias("same"), "x", "y", score(F.col("u.value"), F.col("v.value")).alias("score"), (F.col("u.value").isNull() & F.col("v.value").isNotNull()).alias("lone"))
+    each = met.select("same", "y", "score", "lone", F.explode("x").alias("x")).select("same", "x", "score", "lone", F.explode("y").alias("y")).where("x < y or (x > y and not same)")
+    turned = F.col("lone") & (F.col("x") > F.col("y"))  # nulls sort first, so that only u's can meet a filled one
+    return each.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(turned, F.lit(b_null)).otherwise(F.col("score")).alias("score"))
 
 
 def nearest(df: DataFrame, key: str, id_col: str, vector: str, k: int) -> DataFrame:

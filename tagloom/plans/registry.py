@@ -243,8 +243,8 @@ def catalog_price_bands(spark: SparkSession, d: str) -> DataFrame:
     SELECT a.p_partkey AS a, b.p_partkey AS b, len(list_intersect(a.t, b.t)) / least(len(a.t), len(b.t)) AS overlap FROM w a JOIN w b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey
 """)
 def token_overlap(spark: SparkSession, d: str) -> DataFrame:
-    p = read(spark, d, "part").select("p_partkey", "p_brand", "p_size", F.array_sort(text.words(F.col("p_name"))).alias("words"))
-    return pairs.scored(p, ["p_brand", "p_size"], "p_partkey", "words", text.set_overlap).withColumnRenamed("score", "overlap")
+    p = read(spark, d, "part").select("p_partkey", "p_brand", "p_size", text.blank_words(F.col("p_name")).alias("words"))
+    return pairs.scored(p, ["p_brand", "p_size"], "p_partkey", "words", text.shared, 0.0).withColumnRenamed("score", "overlap")
 
 
 @query("""

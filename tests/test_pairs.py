@@ -36,6 +36,15 @@ def test_overlap_of_distinct_values(spark, tmp_path, monkeypatch):
     assert {(r.overlap, r.n) for r in many.groupBy("overlap").agg({"*": "count"}).toDF("overlap", "n").collect()} == {(1.0, 2 * (3000 * 2999 // 2)), (0.5, 3000 * 3000)}
 
 
+def test_overlap_of_odd_names(spark, tmp_path, monkeypatch):
+    """Words of one letter, signs, case, other scripts, blanks and null names: each pair of a brand and size has the SQL's overlap."""
+    monkeypatch.setattr(pairs, "PAIR_CHUNK", 20)
+    names = ["A B", "a c", "A", "7 7", "", " ", "x  y", "x ", None, "Large ring", "large-ring", "large ring.", "ring\tlarge", "ёлка", "елка", "é è", "日本 茶", "茶"]
+    rows = [(k // 2 if k % 5 == 0 else k, names[k % 18], f"b{k % 2}" if k % 13 else None, k % 7 if k % 7 else None) for k in range(400)]
+    got, want = against_sql(spark, tmp_path, "token_overlap", "part", "p_partkey long, p_name string, p_brand string, p_size int", rows)
+    assert got == want and len(got) > 4000
+
+
 def test_cosines_in_chunks(spark, tmp_path, monkeypatch):
     rng = np.random.default_rng(3)
     near = rng.normal(size=(60, 8)).round(2)
